@@ -231,11 +231,12 @@ with {_REGISTRY_SQL},
 iv as (select scope, date, coalesce(lead(date) over (partition by scope order by date), date '2024-01-30') as nd
        from reg),
 d as (select distinct cast(unnest(generate_series(date, nd, interval 1 day)) as date) as day from iv),
-done as (select day from v_run group by day having count(distinct event_type) = 5)
+done as (select day from v_run where n >= 4 group by day having count(distinct event_type) = 5)
 select day from d where day not in (select day from done)""", views=("v_run",))
 def q_missing_predictions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    preds = fx.v_run(t).select(F.col("day").alias("date"), F.col("event_type").alias("scope"))
+    preds = fx.v_run(t).where(F.col("n") >= 4).select(F.col("day").alias("date"),
+                                                      F.col("event_type").alias("scope"))
     return runs.missing_predictions(_registry(t), preds, "2024-01-30", n_scopes=5)
 
 
@@ -250,12 +251,12 @@ def q_distinct_union(spark, sf_dir):
 
 @register("o8_set_difference", """
 select distinct position_id from v_proposal
-where position_id not in (select entity_id from v_view where day >= date '2024-01-10')""",
+where position_id not in (select entity_id from v_view where day >= date '2024-01-27')""",
           views=("v_proposal", "v_view"))
 def q_set_difference(spark, sf_dir):
     t = Tables(spark, sf_dir)
     wanted = fx.v_proposal(t).select("position_id").distinct()
-    done = fx.v_view(t).where(F.col("day") >= F.lit("2024-01-10").cast("date")) \
+    done = fx.v_view(t).where(F.col("day") >= F.lit("2024-01-27").cast("date")) \
         .select(F.col("entity_id").alias("position_id"))
     return runs.set_difference(wanted, done, "position_id")
 
