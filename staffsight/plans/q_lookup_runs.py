@@ -231,11 +231,11 @@ with {_REGISTRY_SQL},
 iv as (select scope, date, coalesce(lead(date) over (partition by scope order by date), date '2024-01-30') as nd
        from reg),
 d as (select distinct cast(unnest(generate_series(date, nd, interval 1 day)) as date) as day from iv),
-done as (select day from v_run where n >= 4 group by day having count(distinct event_type) = 5)
+done as (select day from v_run where n >= 20 group by day having count(distinct event_type) = 5)
 select day from d where day not in (select day from done)""", views=("v_run",))
 def q_missing_predictions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    preds = fx.v_run(t).where(F.col("n") >= 4).select(F.col("day").alias("date"),
+    preds = fx.v_run(t).where(F.col("n") >= 20).select(F.col("day").alias("date"),
                                                       F.col("event_type").alias("scope"))
     return runs.missing_predictions(_registry(t), preds, "2024-01-30", n_scopes=5)
 
