@@ -6,3 +6,4 @@ from . import q_lookup_runs  # noqa: F401
 from . import q_history  # noqa: F401
 from . import q_rollups  # noqa: F401
 from . import q_calendar  # noqa: F401
+from . import q_crm  # noqa: F401
