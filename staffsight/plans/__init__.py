@@ -7,3 +7,4 @@ from . import q_history  # noqa: F401
 from . import q_rollups  # noqa: F401
 from . import q_calendar  # noqa: F401
 from . import q_crm  # noqa: F401
+from . import q_matching  # noqa: F401
