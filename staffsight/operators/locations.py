@@ -52,9 +52,8 @@ def location_ids(col: Column, parent_rule: bool = True) -> Column:
         # every id in text order, a parent's id right after its child's
         both = F.flatten(F.transform(locs, lambda x: F.array(x["id"], x["parent"]["id"])))
         return F.filter(both, lambda i: i.isNotNull())
-    has_parent = F.exists(locs, lambda x: x["parent"].isNotNull())
-    kept = F.filter(locs, lambda x: ~has_parent | x["parent"].isNotNull())
-    return F.transform(kept, lambda x: x["id"])
+    with_parent = F.transform(F.filter(locs, lambda x: x["parent"].isNotNull()), lambda x: x["id"])
+    return F.when(F.size(with_parent) > 0, with_parent).otherwise(F.transform(locs, lambda x: x["id"]))
 
 
 def is_any_location(ids: Column) -> Column:
