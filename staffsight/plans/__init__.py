@@ -11,3 +11,4 @@ from . import q_matching  # noqa: F401
 from . import q_movement  # noqa: F401
 from . import q_text  # noqa: F401
 from . import q_model  # noqa: F401
+from . import q_io  # noqa: F401
