@@ -92,6 +92,25 @@ def scenario_amount(scenario: str, amount: Column, probability: Column, year: Co
     raise ValueError(f"unknown scenario {scenario}")
 
 
+def _amount_sql(scenario: str, amount: str, probability: str, date_col: str) -> str:
+    """``scenario_amount`` as SQL text (one parse instead of a tree of Column calls)."""
+    a, p = f"`{amount}`", f"`{probability}`"
+    if scenario == "Optimistic":
+        return a
+    if scenario == "Pessimistic":
+        return f"case when {p} >= 1 then {a} else 0 end"
+    if scenario == "Weighted":
+        return f"{a} * {p}"
+    k = f"({_index_sql(4, 'year', 'month')} - {_index_sql(4, f'year(`{date_col}`)', f'month(`{date_col}`)')})"
+    arms = " ".join(f"when {k} {'<=' if dist == 0 else '='} {dist} then {p} >= {thr}"
+                    for dist, thr in STANDARD_THRESHOLDS)
+    return f"case when (case {arms} else true end) then {a} else 0 end"
+
+
+def _index_sql(p: int, y: str, m: str) -> str:
+    return f"cast({y} * {p} + floor(({m} - 1) / {12 // p}) as int)"
+
+
 def apply_scenario(df: DataFrame, scenario: str, amount: str = "amount", probability: str = "probability",
                    date_col: str = "date") -> DataFrame:
     """A10/A11 as a DataFrame transform (amount replaced)."""
@@ -127,17 +146,17 @@ def crm_measures(df: DataFrame, base: str, value: str, types: Sequence[str] = tu
     the scenario copies are then equal, as in the reference. Missing → 0."""
     key = BASES[base]
     y, m, d = F.col("year"), F.col("month"), F.col(date_col)
-    amounts = {s: (scenario_amount(s, F.col(amount), F.col(probability), y, m, d) if probability
-                   else F.col(amount)) for s in scenarios}
-    aggs = []
-    for t in types:
-        for r in ranges:
-            p = RANGES[r]
-            hit = (period_index(y, m, p) - period_index(F.year(d), F.month(d), p)) == TYPES[t]
-            for s in scenarios:
-                aggs.append(F.coalesce(F.sum(F.when(hit, amounts[s]).otherwise(F.lit(0))).cast("double"),
-                                       F.lit(0.0)).alias(measure_name(s, t, r, base, value)))
-    return df.groupBy(key, date_col).agg(*aggs, *extra)
+    # per-row scenario amounts and period offsets once, then plain conditional sums; all
+    # written as SQL text: one parse per column instead of a tree of Column calls
+    amounts = [F.expr(_amount_sql(s, amount, probability, date_col) if probability else f"`{amount}`")
+               .alias(f"__a_{s}") for s in scenarios]
+    offsets = [F.expr(f"{_index_sql(RANGES[r], 'year', 'month')} - "
+                      f"{_index_sql(RANGES[r], f'year(`{date_col}`)', f'month(`{date_col}`)')}").alias(f"__o_{r}")
+               for r in ranges]
+    rows = df.select(key, date_col, *amounts, *offsets)
+    aggs = [F.expr(f"coalesce(cast(sum(case when __o_{r} = {TYPES[t]} then __a_{s} else 0 end) as double), 0D)")
+            .alias(measure_name(s, t, r, base, value)) for t in types for r in ranges for s in scenarios]
+    return rows.groupBy(key, date_col).agg(*aggs, *extra)
 
 
 def correct_previous(measures: DataFrame, act: DataFrame, plan: DataFrame, base: str,
@@ -148,29 +167,31 @@ def correct_previous(measures: DataFrame, act: DataFrame, plan: DataFrame, base:
     month (same scenario) is positive, add that plan to the previous month, and to the
     previous quarter / half-year / year when the previous month closes it."""
     key = BASES[base]
-    y, m, d = F.col("year"), F.col("month"), F.col(date_col)
-    prev_idx = period_index(F.year(d), F.month(d), 12) - 1
-    prev_year = F.floor(prev_idx / 12).cast("int")
+    prev = f"({_index_sql(12, f'year(`{date_col}`)', f'month(`{date_col}`)')} - 1)"
+    month_idx = _index_sql(12, "year", "month")
     a = act.groupBy(key, date_col).agg(
-        F.count_if(y == prev_year).alias("__rows"),
-        F.coalesce(F.sum(F.when(period_index(y, m, 12) == prev_idx, F.col(amount)).otherwise(F.lit(0))).cast("double"),
-                   F.lit(0.0)).alias("__act"))
+        F.expr(f"count_if(year = floor({prev} / 12))").alias("__rows"),
+        F.expr(f"coalesce(cast(sum(case when {month_idx} = {prev} then `{amount}` else 0 end) as double), 0D)")
+        .alias("__act"))
     pl = plan.groupBy(key, date_col).agg(*[
-        F.sum(F.when(period_index(y, m, 12) == prev_idx,
-                     scenario_amount(s, F.col(amount), F.col(probability), y, m, d)).otherwise(F.lit(0)))
-        .cast("double").alias(f"__plan_{s}") for s in scenarios])
+        F.expr(f"cast(sum(case when {month_idx} = {prev} then {_amount_sql(s, amount, probability, date_col)} "
+               f"else 0 end) as double)").alias(f"__plan_{s}") for s in scenarios])
     fix = a.join(pl, [key, date_col], "inner").where(
         (F.col("__rows") > 0) & (F.col("__act") == 0) & (F.dayofmonth(date_col) <= 15))
     out = measures.join(fix.select(key, date_col, *[f"__plan_{s}" for s in scenarios]), [key, date_col], "left")
-    pm = prev_idx % 12 + 1
-    closes = {"month": F.lit(True), "quarter": pm.isin(3, 6, 9, 12), "half_year": pm.isin(6, 12), "year": pm == 12}
+    pm = f"({prev} % 12 + 1)"
+    closes = {"month": "true", "quarter": f"{pm} in (3, 6, 9, 12)", "half_year": f"{pm} in (6, 12)",
+              "year": f"{pm} = 12"}
+    fixed = {}
+    have = set(out.columns)
     for s in scenarios:
-        add = F.col(f"__plan_{s}")
         for r, cond in closes.items():
             name = measure_name(s, "previous", r, base, "revenue")
-            if name in out.columns:
-                out = out.withColumn(name, F.when(add.isNotNull() & (add > 0) & cond, F.col(name) + add)
-                                     .otherwise(F.col(name)))
+            if name in have:
+                fixed[name] = F.expr(f"case when __plan_{s} > 0 and {cond} then `{name}` + __plan_{s} "
+                                     f"else `{name}` end")
+    # one projection (a withColumn per measure would re-analyse the wide plan each time)
+    out = out.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in out.columns])
     return out.drop(*[f"__plan_{s}" for s in scenarios])
 
 
@@ -179,33 +200,84 @@ def crm_features(keys: DataFrame, act: DataFrame, plan: DataFrame, pos: DataFram
     """Revenue (plan for current/next, actual for previous, corrected by A15),
     positions (FTE) measures, run rates and period dynamics for every base, joined to
     ``keys`` (rows carrying the base columns and the snapshot date). Missing → 0."""
+    bkeys = [BASES[b] for b in bases]
+    prev = f"({_index_sql(12, f'year(`{date_col}`)', f'month(`{date_col}`)')} - 1)"
+    month_idx = _index_sql(12, "year", "month")
+
+    def by_bases(src: DataFrame, value: str, types, scenario_effect: bool, extra: Sequence[Column]) -> DataFrame:
+        """One grouping-sets aggregate of ``src`` for every base: a single pass over the
+        source instead of one aggregate per base."""
+        amounts = [F.expr(_amount_sql(sc, "amount", "probability", date_col) if scenario_effect else "`amount`")
+                   .alias(f"__a_{sc}") for sc in SCENARIOS]
+        offsets = [F.expr(f"{_index_sql(RANGES[r], 'year', 'month')} - "
+                          f"{_index_sql(RANGES[r], f'year(`{date_col}`)', f'month(`{date_col}`)')}").alias(f"__o_{r}")
+                   for r in RANGES]
+        keep = ["year", "month", "amount"] + (["probability"] if scenario_effect else [])
+        rows = src.select(*bkeys, date_col, *keep, *amounts, *offsets)
+        aggs = [F.expr(f"coalesce(cast(sum(case when __o_{r} = {TYPES[t]} then __a_{sc} else 0 end) as double), 0D)")
+                .alias(f"{sc}_{t}_{r}__{value}") for t in types for r in RANGES for sc in SCENARIOS]
+        sets = [[k, date_col] for k in bkeys]
+        return rows.groupingSets(sets, *bkeys, date_col).agg(
+            *aggs, *extra, *[F.grouping(k).alias(f"__g_{k}") for k in bkeys])
+
+    def for_base(agg: DataFrame, base: str, value: str, types, extra_cols: Sequence[str] = ()) -> DataFrame:
+        k = BASES[base]
+        names = [(f"{sc}_{t}_{r}__{value}", measure_name(sc, t, r, base, value))
+                 for t in types for r in RANGES for sc in SCENARIOS]
+        return agg.where(F.col(f"__g_{k}") == 0).select(
+            k, date_col, *[F.col(a).alias(b) for a, b in names], *extra_cols)
+
+    plan_extra = [F.expr(f"cast(sum(case when {month_idx} = {prev} then "
+                         f"{_amount_sql(sc, 'amount', 'probability', date_col)} else 0 end) as double)")
+                  .alias(f"__plan_{sc}") for sc in SCENARIOS]
+    act_extra = [F.expr(f"count_if(year = floor({prev} / 12))").alias("__rows"),
+                 F.expr(f"coalesce(cast(sum(case when {month_idx} = {prev} then `amount` else 0 end) as double), 0D)")
+                 .alias("__act")]
+    plan_agg = by_bases(plan, "revenue", ("current", "next"), True, plan_extra)
+    act_agg = by_bases(act, "revenue", ("previous",), True, act_extra)
+    pos_agg = by_bases(pos, "positions", tuple(TYPES), False, [])
+    pm = f"({prev} % 12 + 1)"
+    closes = {"month": "true", "quarter": f"{pm} in (3, 6, 9, 12)", "half_year": f"{pm} in (6, 12)",
+              "year": f"{pm} = 12"}
     out = keys
     for base in bases:
-        key = BASES[base]
-        rev = crm_measures(plan, base, "revenue", types=("current", "next"), date_col=date_col).join(
-            crm_measures(act, base, "revenue", types=("previous",), date_col=date_col), [key, date_col], "full")
-        rev = rev.fillna(0.0)
-        rev = correct_previous(rev, act, plan, base, date_col=date_col)
-        fte = crm_measures(pos, base, "positions", probability=None, date_col=date_col)
-        out = out.join(rev, [key, date_col], "left").join(fte, [key, date_col], "left")
+        k = BASES[base]
+        pl = for_base(plan_agg, base, "revenue", ("current", "next"), [f"__plan_{sc}" for sc in SCENARIOS])
+        ac = for_base(act_agg, base, "revenue", ("previous",), ["__rows", "__act"])
+        rev = pl.join(ac, [k, date_col], "full")
+        fix = f"(__rows > 0 and __act = 0 and day(`{date_col}`) <= 15)"
+        cols = []
+        for c in rev.columns:
+            if c in (k, date_col) or c.startswith("__"):
+                continue
+            v = f"coalesce(`{c}`, 0D)"
+            sc, t = c.split("_")[0], c.split("_")[1]
+            if t == "previous":
+                r = "half_year" if "_half_year_" in c else c.split("_")[2]
+                v = (f"case when {fix} and __plan_{sc} > 0 and {closes[r]} then {v} + __plan_{sc} else {v} end")
+            cols.append(F.expr(v).alias(c))
+        rev = rev.select(k, date_col, *cols)
+        out = out.join(rev, [k, date_col], "left").join(for_base(pos_agg, base, "positions", tuple(TYPES)),
+                                                      [k, date_col], "left")
     meas = [c for c in out.columns if c.endswith("_revenue") or c.endswith("_positions")]
     out = out.fillna(0.0, subset=meas)
+    def ratio(num: str, den: str, name: str) -> Column:
+        # measures are finite doubles: try_divide covers a zero denominator
+        return F.expr(f"coalesce(try_divide(`{num}`, `{den}`), 0D)").alias(name)
+
     extra = []
     for t in TYPES:
         for r in RANGES:
             for base in bases:
                 for s in SCENARIOS:
-                    extra.append(safe_ratio(F.col(measure_name(s, t, r, base, "revenue")),
-                                            F.col(measure_name(s, t, r, base, "positions")))
-                                 .alias(f"avg_run_rate_{s}_{t}_{r}_{base}"))
+                    extra.append(ratio(measure_name(s, t, r, base, "revenue"), measure_name(s, t, r, base, "positions"),
+                                       f"avg_run_rate_{s}_{t}_{r}_{base}"))
     for r in RANGES:
         for base in bases:
             for v in ("revenue", "positions"):
                 for s in SCENARIOS:
-                    extra.append(safe_ratio(F.col(measure_name(s, "current", r, base, v)),
-                                            F.col(measure_name(s, "previous", r, base, v)))
-                                 .alias(f"ratio_current_previous_{s}_{v}_{r}_{base}"))
-                    extra.append(safe_ratio(F.col(measure_name(s, "next", r, base, v)),
-                                            F.col(measure_name(s, "current", r, base, v)))
-                                 .alias(f"ratio_next_current_{s}_{v}_{r}_{base}"))
+                    extra.append(ratio(measure_name(s, "current", r, base, v), measure_name(s, "previous", r, base, v),
+                                       f"ratio_current_previous_{s}_{v}_{r}_{base}"))
+                    extra.append(ratio(measure_name(s, "next", r, base, v), measure_name(s, "current", r, base, v),
+                                       f"ratio_next_current_{s}_{v}_{r}_{base}"))
     return out.select("*", *extra)
