@@ -107,6 +107,54 @@ def q_days(spark, sf_dir):
     return j.groupBy("day").agg(F.count("position_id").alias("n_open"))
 
 
+@register("s9_weekly_series_back", """
+with m as (select max(o_orderdate) as m from orders),
+days as (select cast(unnest(generate_series(m.m, m.m - interval 182 day, -interval 7 day)) as date) as day from m)
+select d.day, count(p.position_id) as n_open from days d left join v_position p
+  on p.valid_from <= d.day and (p.valid_to is null or d.day < p.valid_to) group by 1""", views=("v_position",))
+def q_series_back(spark, sf_dir):
+    """Weekly snapshot days walking half a year back from the newest order day."""
+    t = Tables(spark, sf_dir)
+    newest = t.orders.agg(F.max("o_orderdate").alias("m"))
+    d = io.date_series_between(newest, F.col("m"), F.date_sub(F.col("m"), 182), -7)
+    j = snap.validity_join(d, fx.v_position(t).select("position_id", "valid_from", "valid_to"))
+    return j.groupBy("day").agg(F.count("position_id").alias("n_open"))
+
+
+@register("o2_latest_proposal_per_position", """
+select position_id, time as last_time, proposal_id as last_proposal_id, staffing_status as last_status from (
+  select *, row_number() over (partition by position_id order by time desc, proposal_id desc) as rn from v_proposal)
+where rn = 1""", views=("v_proposal",))
+def q_top1(spark, sf_dir):
+    """O2: top-1 row per group by (time, id) descending. Written as ``max`` of a struct — an
+    aggregate with a map-side partial step — so a position holding a large share of the
+    rows is reduced in every task before the shuffle instead of sorted in one."""
+    p = fx.v_proposal(Tables(spark, sf_dir))
+    best = F.max(F.struct("time", "proposal_id", "staffing_status")).alias("b")
+    return p.groupBy("position_id").agg(best).select(
+        "position_id", F.col("b.time").alias("last_time"), F.col("b.proposal_id").alias("last_proposal_id"),
+        F.col("b.staffing_status").alias("last_status"))
+
+
+@register("d22_safe_ratio", """
+with c as (select customer_id, count(*) filter (where staffing_status = 'Assigned') as n_assigned,
+             count(*) filter (where staffing_status = 'Proposed') as n_proposed,
+             count(*) filter (where staffing_status = 'Open') as n_open from v_position group by 1)
+select customer_id, n_assigned, n_proposed, n_open,
+  coalesce(case when n_open = 0 then null else n_assigned * 1.0 / n_open end, 0) as assigned_per_open,
+  coalesce(case when n_open = 0 then null else n_proposed * 1.0 / n_open end, 0) as proposed_per_open
+from c""", views=("v_position",))
+def q_safe_ratio(spark, sf_dir):
+    """Ratios whose zero / null denominators give 0 instead of an ANSI error."""
+    from ..functions.ratios import safe_ratio
+    st = F.col("staffing_status")
+    c = fx.v_position(Tables(spark, sf_dir)).groupBy("customer_id").agg(
+        F.count_if(st == "Assigned").alias("n_assigned"), F.count_if(st == "Proposed").alias("n_proposed"),
+        F.count_if(st == "Open").alias("n_open"))
+    return c.select("*", safe_ratio("n_assigned", "n_open").alias("assigned_per_open"),
+                    safe_ratio("n_proposed", "n_open").alias("proposed_per_open"))
+
+
 @register("d1_whole_day_distance", """
 select l_orderkey, l_linenumber,
   cast(floor((epoch_us(l.l_shipdate) - epoch_us(o.o_orderdate)) / 86400000000) as bigint) as ship_days,

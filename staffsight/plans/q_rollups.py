@@ -36,11 +36,15 @@ k as (select distinct position_id, day, container_name, primary_skill_id, primar
       from pos)"""
 
 
-def _rollup_oracle(prefix: str, scope: str | None, extra_select: str = "") -> str:
+def _rollup_oracle(prefix: str, scope: str | None, extra_select: str = "", feat_sql: str = "",
+                   targets=TARGETS, res_type: str = "integer") -> str:
+    """Brute-force twin of A4: one correlated sum per output column. ``feat_sql`` adds CTEs
+    after the base ones and must define ``feat2`` to replace the position counts."""
     cols = []
+    src = "feat2" if feat_sql else "feat"
     for lv in (ru.CITY_LEVEL, ru.COUNTRY_LEVEL, ru.TOTAL):
         for sk in (*ru.SKILL_LEVELS, ru.TOTAL):
-            for t in TARGETS:
+            for t in targets:
                 name = f"{prefix}_{ru.target_slug(t)}_{ru.level_suffix(lv, sk)}"
                 cond = [f"f.day = k.day", f"f.target = '{t}'"]
                 if scope:
@@ -53,10 +57,10 @@ def _rollup_oracle(prefix: str, scope: str | None, extra_select: str = "") -> st
                 elif lv == ru.COUNTRY_LEVEL:
                     cond.append("f.country_id in (select country_id from pos q where q.position_id = k.position_id "
                                 "and q.day = k.day)")
-                cols.append(f"cast(coalesce((select sum(f.value) from feat f where {' and '.join(cond)}), 0) "
-                            f"as integer) as {name}")
+                cols.append(f"cast(coalesce((select sum(f.value) from {src} f where {' and '.join(cond)}), 0) "
+                            f"as {res_type}) as \"{name}\"")
     keys = "k.position_id, k.day" + (f", k.{scope}" if scope else "")
-    return f"with {_ROLLUP_BASE_SQL}\nselect {keys}, {', '.join(cols)}{extra_select} from k"
+    return f"with {_ROLLUP_BASE_SQL}{feat_sql}\nselect {keys}, {', '.join(cols)}{extra_select} from k"
 
 
 def _rollup_inputs(spark, sf_dir):
@@ -89,6 +93,87 @@ def q_rollup_scoped(spark, sf_dir):
                               scope_key="container_name")
 
 
+# --- A5: the other roll-up uses -----------------------------------------------------------
+# Employees have no skill of their own in the fixture tables; their skill keys follow the
+# same rule as positions' (id % 12, category % 4, prefix by category parity).
+_EMP_LEVELS_SQL = """cast(s.s_suppkey % 12 as varchar) as primary_skill_id,
+    cast((s.s_suppkey % 12) % 4 as varchar) as primary_skill_category_id,
+    'P' || cast(((s.s_suppkey % 12) % 4) % 2 as varchar) as skill_prefix,
+    cast(s.s_nationkey as varchar) as city_id, cast(n.n_regionkey as varchar) as country_id"""
+
+_A5_BENCH_SQL = f""",
+efirst as (select employee_id, min(timesheet_date) as f from v_worklog group by employee_id),
+ed as (select d.day, e.employee_id from days d join efirst e on e.f <= d.day),
+lb as (select ed.day, ed.employee_id, max(w.timesheet_date) as last_billable from ed
+       left join v_worklog w on w.employee_id = ed.employee_id and w.billable and w.timesheet_date <= ed.day
+       group by 1, 2),
+bench as (select day, employee_id, datediff('day', last_billable, day) as bench_days from lb
+          where last_billable is null or datediff('day', last_billable, day) >= 14),
+feat2 as (select b.day, null as container_name, {_EMP_LEVELS_SQL},
+    case when bench_days is null then '90+' when bench_days <= 30 then '0-30' when bench_days <= 60 then '31-60'
+      when bench_days <= 90 then '61-90' else '90+' end as target, 1 as value
+  from bench b join supplier s on s.s_suppkey = b.employee_id join nation n on n.n_nationkey = s.s_nationkey)"""
+
+_HOUR_MEASURES = ("total_hours", "billable_hours", "in_trip_hours")
+_A5_HOURS_SQL = f""",
+wd as (select w.*, {_EMP_LEVELS_SQL} from v_worklog w join days d on w.timesheet_date = d.day
+       join supplier s on s.s_suppkey = w.employee_id join nation n on n.n_nationkey = s.s_nationkey),
+feat2 as (select timesheet_date as day, null as container_name, primary_skill_id, primary_skill_category_id,
+    skill_prefix, city_id, country_id, m.target,
+    case m.target when 'total_hours' then hours when 'billable_hours' then case when billable then hours else 0 end
+      else case when line_no = 1 then hours else 0 end end as value
+  from wd, (values ('total_hours'), ('billable_hours'), ('in_trip_hours')) m(target))"""
+
+
+def _employee_levels(t: Tables, df: DataFrame) -> DataFrame:
+    sk = F.col("employee_id") % 12
+    return (df.join(t.supplier.select(F.col("s_suppkey").alias("employee_id"), F.col("s_nationkey").alias("city_id")),
+                    "employee_id")
+            .join(F.broadcast(t.nation.select(F.col("n_nationkey").alias("city_id"),
+                                              F.col("n_regionkey").alias("country_id"))), "city_id")
+            .withColumn("primary_skill_id", sk).withColumn("primary_skill_category_id", sk % 4)
+            .withColumn("skill_prefix", F.concat(F.lit("P"), (sk % 4 % 2).cast("string"))))
+
+
+@register("a5_rollup_bench_buckets",
+          _rollup_oracle("bench_buckets", None, feat_sql=_A5_BENCH_SQL,
+                         targets=tuple(l for _, l in ru.BENCH_BUCKETS) + (ru.BENCH_TOP,)),
+          views=("v_position", "v_worklog"))
+def q_rollup_bench(spark, sf_dir):
+    """A5: bench employees per bucket rolled up to each position's locations and skills."""
+    t = Tables(spark, sf_dir)
+    pos, _ = _rollup_inputs(spark, sf_dir)
+    b = ru.bench_rows(io.days(spark, ROLLUP_DAYS), fx.v_worklog(t)).withColumn("bucket", ru.bench_bucket("bench_days"))
+    feat = _employee_levels(t, b).withColumn("value", F.lit(1))
+    return ru.rollup_features(pos, feat, "bucket", "value", "bench_buckets",
+                              [l for _, l in ru.BENCH_BUCKETS] + [ru.BENCH_TOP])
+
+
+@register("a5_rollup_time_reporting",
+          _rollup_oracle("time_reporting", None, feat_sql=_A5_HOURS_SQL, targets=_HOUR_MEASURES,
+                         res_type="double"),
+          views=("v_position", "v_worklog"))
+def q_rollup_hours(spark, sf_dir):
+    """A5: reported hours on the snapshot day — total, billable, in trip — rolled up in one
+    pass: the three measures are unpivoted into (target, value) rows so the twelve
+    grouping sets are aggregated once, not once per measure."""
+    t = Tables(spark, sf_dir)
+    pos, _ = _rollup_inputs(spark, sf_dir)
+    w = fx.v_worklog(t).join(F.broadcast(io.days(spark, ROLLUP_DAYS)),
+                             F.col("timesheet_date") == F.col("day")).drop("timesheet_date")
+    w = _employee_levels(t, w)
+    hours = F.col("hours").cast("double")
+    long = w.select("day", "primary_skill_id", "primary_skill_category_id", "skill_prefix", "city_id", "country_id",
+                    F.explode(F.array(
+                        F.struct(F.lit("total_hours").alias("m"), hours.alias("v")),
+                        F.struct(F.lit("billable_hours").alias("m"),
+                                 F.when(F.col("billable"), hours).otherwise(0.0).alias("v")),
+                        F.struct(F.lit("in_trip_hours").alias("m"),
+                                 F.when(F.col("line_no") == 1, hours).otherwise(0.0).alias("v")))).alias("mv"))
+    long = long.select("*", "mv.m", "mv.v").drop("mv")
+    return ru.rollup_features(pos, long, "m", "v", "time_reporting", _HOUR_MEASURES, res_type="double")
+
+
 def _suffixes():
     return [ru.level_suffix(lv, sk) for lv in (ru.CITY_LEVEL, ru.COUNTRY_LEVEL, ru.TOTAL)
             for sk in (*ru.SKILL_LEVELS, ru.TOTAL)]

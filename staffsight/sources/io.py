@@ -143,6 +143,16 @@ def date_series(spark: SparkSession, start, stop, step_days: int, col: str = DAY
         F.explode(F.sequence(F.lit(s), F.lit(e), F.make_interval(days=F.lit(step_days)))).alias(col))
 
 
+def date_series_between(bounds: DataFrame, start: Column, stop: Column, step_days: int,
+                        col: str = DAY) -> DataFrame:
+    """S9 with data-derived ends: ``bounds`` is typically a one-row aggregate (e.g. the
+    newest day of a table); each of its rows yields the days from ``start`` towards
+    ``stop`` by ``step_days`` (negative steps walk back in time)."""
+    if step_days == 0:
+        raise ValueError("step_days must not be 0")
+    return bounds.select(F.explode(F.sequence(start, stop, F.make_interval(days=F.lit(step_days)))).alias(col))
+
+
 def same_day_of_month(days_df: DataFrame, anchor, col: str = DAY) -> DataFrame:
     """Keep days whose day-of-month equals the anchor's."""
     return days_df.where(F.dayofmonth(F.col(col)) == F.dayofmonth(F.lit(_as_date(anchor))))
