@@ -77,20 +77,20 @@ def _expand(df: DataFrame, keys: Sequence[str], ids: Column, tree: DataFrame, na
         (f"{out_prefix}_city_ids", f"{out_prefix}_country_ids")
     base = df.select(*keys, ids.alias("__ids"))
     base = base.withColumn("__any", is_any_location(F.col("__ids")))
-    exploded = base.where(~F.col("__any")).select(*keys, F.explode("__ids").alias("__id"))
-    mapping = _id_mapping(tree, names)
-    got = (exploded.join(mapping, "__id", "inner")
-           .groupBy(*keys).agg(F.array_sort(F.collect_set("__city")).alias(c_out),
+    # explode_outer keeps rows with empty lists and any-location rows (their id is null),
+    # so one aggregate yields every key and no join back to the parsed lists is needed.
+    exploded = base.select(*keys, "__any", F.explode_outer(F.when(~F.col("__any"), F.col("__ids"))).alias("__id"))
+    mapping = _id_mapping(tree, names)  # dimension-sized
+    got = (exploded.join(mapping, "__id", "left")
+           .groupBy(*keys).agg(F.max("__any").alias("__any"), F.array_sort(F.collect_set("__city")).alias(c_out),
                                F.array_sort(F.collect_set("__country")).alias(k_out)))
     c, k = ("city", "country") if names else ("city_id", "country_id")
     everything = tree.agg(F.array_sort(F.collect_set(c)).alias("__all_c"),
                           F.array_sort(F.collect_set(k)).alias("__all_k")).withColumn("__any", F.lit(True))
-    out = base.join(got, list(keys), "left").join(F.broadcast(everything), "__any", "left")
+    out = got.join(F.broadcast(everything), "__any", "left")  # one row
     return out.select(*keys,
-                      F.when(F.col("__any"), F.col("__all_c")).otherwise(
-                          F.coalesce(F.col(c_out), F.array().cast("array<string>"))).alias(c_out),
-                      F.when(F.col("__any"), F.col("__all_k")).otherwise(
-                          F.coalesce(F.col(k_out), F.array().cast("array<string>"))).alias(k_out))
+                      F.when(F.col("__any"), F.col("__all_c")).otherwise(F.col(c_out)).alias(c_out),
+                      F.when(F.col("__any"), F.col("__all_k")).otherwise(F.col(k_out)).alias(k_out))
 
 
 def expand_location_ids(df: DataFrame, keys: Sequence[str], col: str, tree: DataFrame,
