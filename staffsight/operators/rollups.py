@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ratios import safe_ratio
-from .snapshots import validity_join
+from .snapshots import validity_counts, validity_join
 
 UNDEFINED = "__UNDEFINED__"
 # Level names used in feature column names.
@@ -156,9 +156,10 @@ def daily_counter(snap_rows: DataFrame, by: Sequence[str], day_col: str = "day",
 
 def active_counts(days: DataFrame, positions: DataFrame, by: Sequence[str], day_col: str = "day",
                   out_col: str = "number_of_positions") -> DataFrame:
-    """Validity join of positions on snapshot days, counted per keys."""
-    j = validity_join(days, positions.select(*by, "valid_from", "valid_to"), day_col=day_col, how="inner")
-    return daily_counter(j, by, day_col, out_col)
+    """Positions valid on each snapshot day, counted per keys (the sweep form
+    of a validity join + count, see ``validity_counts``)."""
+    return validity_counts(days, positions.select(*by, "valid_from", "valid_to"), by, day_col=day_col,
+                           out_col=out_col)
 
 
 # Bench duration buckets (upper bounds in days, inclusive) and labels.

@@ -47,13 +47,8 @@ def validity_join(days: DataFrame, hist: DataFrame, frm: str = "valid_from", to:
         matched = hist.join(F.broadcast(days), cond, "inner")
     else:
         lo, hi = days.agg(F.min(day_col), F.max(day_col)).first()  # two scalars
-        f, t = F.col(frm).cast("timestamp_ntz"), F.col(to).cast("timestamp_ntz")
-        first = F.when(f.cast("date").cast("timestamp_ntz") == f, f.cast("date")) \
-                 .otherwise(F.date_add(f.cast("date"), 1))
-        last = F.when(t.isNull(), F.lit(hi)).when(
-            t.cast("date").cast("timestamp_ntz") == t, F.date_sub(t.cast("date"), 1)) \
-            .otherwise(t.cast("date"))
-        a, b = F.greatest(first, F.lit(lo)), F.least(last, F.lit(hi))
+        first, last = _first_last_day(F.col(frm), F.col(to))
+        a, b = F.greatest(first, F.lit(lo)), F.least(F.coalesce(last, F.lit(hi)), F.lit(hi))
         expanded = (hist.where(a <= b)
                     .withColumn(day_col, F.explode(F.sequence(a, b))))
         matched = expanded.join(days, day_col, "inner")
@@ -65,6 +60,42 @@ def validity_join(days: DataFrame, hist: DataFrame, frm: str = "valid_from", to:
     return matched.unionByName(empty_days, allowMissingColumns=True)
 
 
+def _first_last_day(frm: Column, to: Column) -> tuple[Column, Column]:
+    """First and last calendar day a ``[frm, to)`` range is valid on (days at midnight):
+    a start with a time of day begins the next day; an end at midnight excludes that day;
+    an open end gives a null last day."""
+    f, t = frm.cast("timestamp_ntz"), to.cast("timestamp_ntz")
+    first = F.when(f.cast("date").cast("timestamp_ntz") == f, f.cast("date")).otherwise(F.date_add(f.cast("date"), 1))
+    last = F.when(t.cast("date").cast("timestamp_ntz") == t, F.date_sub(t.cast("date"), 1)).otherwise(t.cast("date"))
+    return first, last
+
+
+def validity_counts(days: DataFrame, hist: DataFrame, by: Sequence[str] = (), frm: str = "valid_from",
+                    to: str = "valid_to", day_col: str = "day", out_col: str = "n") -> DataFrame:
+    """J1 + count: rows of ``hist`` valid on each snapshot day per ``by`` keys — the same
+    result as ``validity_join(...).groupBy(day, *by).count()`` (days without rows absent)
+    without materialising one row per (row, day).
+
+    Sweep: every row adds +1 on its first valid day and -1 the day after its last; the
+    deltas are summed per (keys, day) map-side, a running sum per key over the event days
+    gives constant segments ``[event, next event)``, and the day list is joined to the
+    segments. Work is O(rows + keys × event days) instead of O(rows × days); a key holding
+    a large share of the rows costs no more than its distinct event days."""
+    from pyspark.sql import Window
+    by = list(by)
+    first, last = _first_last_day(F.col(frm), F.col(to))
+    ev = hist.select(*by, first.alias("__a"), last.alias("__b")).where(F.col("__b").isNull() | (F.col("__a") <= F.col("__b")))
+    deltas = F.array(F.struct(F.col("__a").alias("__e"), F.lit(1).alias("__d")),
+                     F.struct(F.date_add(F.col("__b"), 1).alias("__e"), F.lit(-1).alias("__d")))
+    ev = (ev.select(*by, F.explode(deltas).alias("__x")).where(F.col("__x.__e").isNotNull())
+          .groupBy(*by, F.col("__x.__e").alias("__e")).agg(F.sum("__x.__d").alias("__d")))
+    w = Window.partitionBy(*by).orderBy("__e")
+    seg = ev.select(*by, "__e", F.sum("__d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                    .alias(out_col), F.lead("__e").over(w).alias("__next")).where(F.col(out_col) != 0)
+    j = validity_join(days, seg, frm="__e", to="__next", day_col=day_col, how="inner")
+    return j.select(day_col, *by, F.col(out_col).cast("long").alias(out_col))
+
+
 def as_at(hist: DataFrame, ts, frm: str = "valid_from", to: str = "valid_to") -> DataFrame:
     """The rows of a validity table valid at one instant (a pushed-down filter)."""
     return hist.where(valid_on(F.lit(ts), F.col(frm), F.col(to)))

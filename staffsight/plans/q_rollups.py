@@ -350,6 +350,18 @@ def q_counter_project(spark, sf_dir):
     return ru.active_counts(io.days(spark, ROLLUP_DAYS), _active(spark, sf_dir), ["container_name"])
 
 
+@register("a19_daily_status_counts_many_days", """
+with days as (select cast(unnest(generate_series(date '1994-12-01', date '1999-12-31', interval 1 day)) as date) as day)
+select d.day, p.staffing_status, count(*) as number_of_positions from days d join v_position p
+  on p.valid_from <= d.day and (p.valid_to is null or d.day < p.valid_to)
+group by 1, 2""", views=("v_position",))
+def q_counter_many_days(spark, sf_dir):
+    """A19 over a five-year daily series: the sweep keeps the work at rows + status × days."""
+    days = io.date_series(spark, "1994-12-01", "1999-12-31", 1)
+    pos = fx.v_position(Tables(spark, sf_dir))
+    return ru.active_counts(days, pos, ["staffing_status"])
+
+
 _BENCH_DAYS = ("1996-01-01", "1997-03-03", "1998-06-01")
 _BENCH_SQL = """
 with days as (select cast(d as date) as day from (values ('1996-01-01'), ('1997-03-03'), ('1998-06-01')) t(d)),
