@@ -1 +1,5 @@
-"""Incremental (Structured Streaming) forms of the daily counters."""
+"""Structured Streaming forms.
+
+Empty on purpose: the reference runs daily batches only and has no watermark, stream
+window, stateful operator or late-data rule (SURVEY 2.10), so nothing is built here.
+"""
