@@ -209,14 +209,24 @@ def daily_hours(worklog: DataFrame, by: Sequence[str], day_col: str = "timesheet
 def proposal_state(days: DataFrame, proposals: DataFrame, key: str = "proposal_id",
                    time_col: str = "time", status_col: str = "staffing_status", day_col: str = "day",
                    carry: Sequence[str] = ()) -> DataFrame:
-    """Per snapshot day, each proposal's latest status on or before the day.
-
-    A proposal's status rows become validity ranges [time, next time) by ``lead`` over
-    the proposal's own events (small groups), then a validity join with the day list."""
+    """Per snapshot day, each key's latest status on or before the day (events
+    ordered by time, then status; the last one wins).
+
+    Skew-safe form: a snapshot day sees an event from the event's *effective day* (its
+    date when it falls on midnight, else the next day). Events are first reduced to the
+    last one per (key, effective day) — a ``max`` of a struct, combined map-side — so the
+    ``lead`` that turns them into ranges [day, next day) runs over at most one row per
+    key and calendar day, however many events a hot key holds; then a validity join with
+    the day list."""
     from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(time_col, status_col)
-    hist = proposals.select(key, *carry, status_col, F.col(time_col).alias("valid_from"),
-                            F.lead(time_col).over(w).alias("valid_to"))
+    from .snapshots import _first_last_day
+    eff, _ = _first_last_day(F.col(time_col), F.lit(None))
+    last = (proposals.select(key, eff.alias("__e"), F.struct(F.col(time_col).alias("__t"), F.col(status_col).alias("__s"),
+                                                             *[F.col(c) for c in carry]).alias("__x"))
+            .groupBy(key, "__e").agg(F.max("__x").alias("__x")))
+    w = Window.partitionBy(key).orderBy("__e")
+    hist = last.select(key, *[F.col(f"__x.{c}").alias(c) for c in carry], F.col("__x.__s").alias(status_col),
+                       F.col("__e").alias("valid_from"), F.lead("__e").over(w).alias("valid_to"))
     return validity_join(days, hist, day_col=day_col, how="inner").drop("valid_from", "valid_to")
 
 

@@ -55,3 +55,27 @@ def test_validity_counts_equal_brute_force(spark, seed, many_days):
     for bound in (1000, 5):
         j = snap.validity_join(dd, hist, how="inner", max_broadcast_days=bound).groupBy("day", "k").count()
         assert {(r["day"], r["k"]): r["count"] for r in j.collect()} == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_proposal_state_equals_brute_force(spark, seed):
+    from staffsight.operators import rollups as ru
+    rnd = random.Random(seed)
+    base = dt.datetime(2021, 3, 1)
+    ev = []
+    for i in range(rnd.randint(1, 50)):
+        t = base + dt.timedelta(days=rnd.randint(0, 12), hours=rnd.choice([0, 0, 9, 17]))
+        ev.append((rnd.choice([1, 2, 3]), t, rnd.choice(["Booked", "Proposed", "Rejected"])))
+    days = sorted({dt.date(2021, 3, 1) + dt.timedelta(days=rnd.randint(-1, 14)) for _ in range(6)})
+    want = set()
+    for d in days:
+        midnight = dt.datetime.combine(d, dt.time())
+        for k in {e[0] for e in ev}:
+            seen = sorted((t, s) for kk, t, s in ev if kk == k and t <= midnight)
+            if seen:
+                want.add((d, k, seen[-1][1]))
+    df = spark.createDataFrame(ev, "position_id long, time timestamp_ntz, staffing_status string")
+    dd = spark.createDataFrame([(d,) for d in days], "day date")
+    got = {(r["day"], r["position_id"], r["staffing_status"])
+           for r in ru.proposal_state(dd, df, key="position_id").collect()}
+    assert got == want
