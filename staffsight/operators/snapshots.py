@@ -55,7 +55,9 @@ def validity_join(days: DataFrame, hist: DataFrame, frm: str = "valid_from", to:
     matched = matched.select(day_col, *[c for c in hist.columns if c != day_col])
     if how == "inner":
         return matched
-    seen = matched.select(day_col).distinct()
+    # days some row covers, from the sweep (O(rows)) rather than from the joined rows,
+    # which would run the whole join a second time
+    seen = validity_counts(days, hist.select(frm, to), [], frm, to, day_col, "__n").select(day_col)
     empty_days = days.join(seen, day_col, "left_anti")
     return matched.unionByName(empty_days, allowMissingColumns=True)
 

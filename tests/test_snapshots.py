@@ -55,6 +55,10 @@ def test_validity_counts_equal_brute_force(spark, seed, many_days):
     for bound in (1000, 5):
         j = snap.validity_join(dd, hist, how="inner", max_broadcast_days=bound).groupBy("day", "k").count()
         assert {(r["day"], r["k"]): r["count"] for r in j.collect()} == want
+        # left mode adds each day no row covers once, with null history columns
+        left = snap.validity_join(dd, hist, how="left", max_broadcast_days=bound)
+        empty = sorted(r["day"] for r in left.where("k is null").collect())
+        assert empty == sorted(set(days) - {d for d, _ in want})
 
 
 @pytest.mark.parametrize("seed", range(3))
