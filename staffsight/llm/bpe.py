@@ -200,9 +200,6 @@ class Codec:
     def __init__(self, data: bytes, pattern: str):
         self.data, self.pattern, self.ready = data, pattern, None
 
-    def __getstate__(self):
-        return {"data": self.data, "pattern": self.pattern, "ready": None}
-
     def parts(self) -> tuple[dict[int, bytes], object, Pieces]:
         if self.ready is None:
             transducer = Transducer(read_ranks(self.data))
@@ -225,12 +222,22 @@ class Codec:
 
 
 def load_codec(spark: SparkSession, path: str, pattern: str):
-    """Broadcast codec of the rank file at ``path`` (local to the driver)."""
+    """Broadcast dictionary with the rank file at ``path`` (local to the driver) and the pattern.
+
+    A Python worker keeps a broadcast's value between tasks, and in it the codec that its
+    first task makes, with the states and pieces known so far.
+    """
     with open(path, "rb") as f:
         data = f.read(MAX_RANK_BYTES + 1)
     if len(data) > MAX_RANK_BYTES:
         raise ValueError(f"{path} has more than {MAX_RANK_BYTES} bytes")
-    return spark.sparkContext.broadcast(Codec(data, pattern))
+    return spark.sparkContext.broadcast({"ranks": data, "pattern": pattern})
+
+
+def _codec(held: dict) -> Codec:
+    if "codec" not in held:
+        held["codec"] = Codec(held["ranks"], held["pattern"])
+    return held["codec"]
 
 
 def encode(documents: DataFrame, codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,7 +245,7 @@ def encode(documents: DataFrame, codec, id_col: str = "doc_id", text_col: str =
     rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        own = codec.value
+        own = _codec(codec.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -256,7 +263,7 @@ def decode(encoded: DataFrame, codec) -> DataFrame:
     fields = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def run(batches):
-        own = codec.value
+        own = _codec(codec.value)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
             for k in range(0, batch.num_rows, 256):
