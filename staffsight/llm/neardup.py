@@ -9,15 +9,17 @@ the threshold with a chance below ``MISS``.
 Steps, each a Spark job over distributed tables:
 
 1. Every text is hashed once; texts with equal shingle sets become one node.
-2. In each table bucket the smallest node is compared with the others (star). Links are
-   confirmed on full sets, and components are built from them.
-3. Buckets whose nodes all lie in one component are settled. In the others all pairs of
-   nodes of different components are candidates: small buckets are paired by a join, large
-   ones in blocks that emit only pairs whose MinHash values agree well enough. Candidates
-   are confirmed on full sets too, and components are built again.
-
-So no bucket is capped, and a group of many near copies costs one comparison per copy. The
-agreement test before confirming drops a true link with a chance below ``MISS``.
+2. In each table bucket three nodes (the first in three fixed orders) are compared with the
+   others. Links are confirmed on full sets, and components are built from them.
+3. Buckets whose nodes all lie in one component are settled. In the others nodes of different
+   components are compared in blocks of BLOCK nodes by a bound that loses nothing: a set's
+   shingles are counted in BINS bins, and the sum over bins of the smaller count is at least
+   the size of the intersection. Only pairs that can reach the threshold leave a block; they are
+   confirmed on full sets too, and components are built again.
+
+So no bucket is capped, and a group of many near copies costs a few comparisons per copy. The
+agreement test before confirming in step 2 drops a true link with a chance below ``MISS``, and
+only for that step.
 
 Defined results: null or empty texts (and texts without words) have an empty set, are linked
 with nothing and kept; rows with one doc_id and different texts are separate nodes; repeated
@@ -43,8 +45,8 @@ from .shingles import constants, mix64, shingle_lists, shingle_sets
 ship(__name__)
 
 MISS = 1e-5
-#: Buckets up to this size are paired by a join, larger ones in blocks of BLOCK nodes.
-SMALL_BUCKET, BLOCK = 64, 512
+#: Nodes in a block of an open bucket, and bins of a set's counts.
+BLOCK, BINS = 512, 128
 
 
 def _below(n: int, p: float, k: int) -> float:
@@ -70,7 +72,7 @@ def _hasher(k: int, hashes: int):
 
     def run(batches):
         for batch in batches:
-            n_set, node, mins = [], [], []
+            n_set, node, mins, bins = [], [], [], []
             for _, fp, begin in shingle_lists(batch.column(1), k):
                 filled = np.flatnonzero(np.diff(begin))
                 low = np.zeros((len(begin) - 1, hashes), np.uint64)
@@ -81,32 +83,29 @@ def _hasher(k: int, hashes: int):
                 for a, b in zip(begin[:-1], begin[1:]):
                     own = np.unique(fp[a:b])
                     n_set.append(len(own))
+                    count = np.bincount((own >> np.uint64(57)).astype(np.intp), minlength=BINS)
+                    bins.append(np.minimum(count, 255).astype(np.uint8).tobytes())
                     node.append(mix64(np.array([mix64(own).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64))[0])
             values = np.concatenate(mins).view(np.int64).ravel() if mins else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n_set, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(n_set) + 1, dtype=np.int32) * hashes), pa.array(values)),
-            ], names=["doc_id", "n_shingles", "node", "mins"])
+                pa.array(bins, pa.binary()),
+            ], names=["doc_id", "n_shingles", "node", "mins", "bins"])
     return run
 
 
 def signatures(documents: DataFrame, k: int, hashes: int) -> DataFrame:
-    """doc_id, n_shingles, node (set fingerprint), mins for every document."""
+    """doc_id, n_shingles, node (set fingerprint), mins, bins (counts of shingles) for every document."""
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_hasher(k, hashes), "doc_id long, n_shingles long, node long, mins array<long>")
-
+    return rows.mapInArrow(_hasher(k, hashes), "doc_id long, n_shingles long, node long, mins array<long>, bins binary")
 
-def table_keys(m: int) -> Column:
-    """The keys of all pairs of collections."""
-    part = [F.xxhash64(F.get("mins", F.lit(2 * i)), F.get("mins", F.lit(2 * i + 1)), F.lit(i)) for i in range(m)]
-    names = [f"c{i}" for i in range(m)]
-    return part, names, F.array(*(F.xxhash64(names[i], names[j]) for i, j in combinations(range(m), 2)))
 
-
-def _bucket_rows(nodes: DataFrame, m: int) -> DataFrame:
-    """(key, node): a node's place in every table."""
-    part, names, keys = table_keys(m)
-    return nodes.select("node", *(p.alias(c) for p, c in zip(part, names))).select("node", F.explode(keys).alias("key"))
+def _bucket_rows(nodes: DataFrame, m: int, *keep: str) -> DataFrame:
+    """(key, node, ...): a node's place in every table, a table for each pair of collections."""
+    part = [F.xxhash64(F.get("mins", F.lit(2 * i)), F.get("mins", F.lit(2 * i + 1)), F.lit(i)).alias(f"c{i}") for i in range(m)]
+    keys = F.array(*(F.xxhash64(f"c{i}", f"c{j}") for i, j in combinations(range(m), 2)))
+    return nodes.select("node", *keep, *part).select("node", *keep, F.posexplode(keys).alias("place", "key"))
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -162,46 +161,89 @@ def _own_text(k: int):
     return run
 
 
-def _block_pairs(least: int):
-    """Pairs of one block pair of a large bucket that agree well enough and are not yet joined."""
-    def run(group):
-        left, right = group[group["side"] != 1], group[group["side"] != 0]
-        ma, mb = np.stack(left["mins"].to_numpy()), np.stack(right["mins"].to_numpy())
-        na, nb = left["node"].to_numpy(), right["node"].to_numpy()
-        ca, cb = left["component"].to_numpy(), right["component"].to_numpy()
-        agree = np.zeros((len(na), len(nb)), np.int16)
-        for h in range(ma.shape[1]):
-            agree += ma[:, h, None] == mb[None, :, h]
-        i, j = np.nonzero((agree >= least) & (ca[:, None] != cb[None, :]))
-        import pandas as pd
-        out = pd.DataFrame({"a": np.minimum(na[i], nb[j]), "b": np.maximum(na[i], nb[j])})
-        return out.drop_duplicates()
+def _reachable(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows of x and y can have the similarity, by their bin counts."""
+    out = np.zeros((len(x), len(y)), bool)
+    for i in range(len(x)):
+        shared = np.minimum(x[i], y).sum(1, dtype=np.int64)
+        # a bin of 255 may hold more: such a set can reach anything that its size allows
+        shared = np.where((x[i] == 255).any() | (y == 255).any(1), np.minimum(nx[i], ny), np.minimum(shared, np.minimum(nx[i], ny)))
+        out[i] = 100 * shared >= percent * (nx[i] + ny - shared)
+    return out
+
+
+def _first_place(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first table in which the rows of x and y (MinHash values) meet."""
+    m = x.shape[1] // 2
+    agree = (x == y).reshape(-1, m, 2).all(2)
+    one = agree.argmax(1)
+    agree[np.arange(len(agree)), one] = False
+    place = np.zeros((m, m), np.int64)
+    for t, (i, j) in enumerate(combinations(range(m), 2)):
+        place[i, j] = t
+    return place[one, agree.argmax(1)]
+
+
+def _block_pairs(percent: int):
+    """Candidates among rows (key, i, j, side, place, node, component, n_shingles, bins, mins) sorted by key, i, j.
+
+    Two nodes meet in many tables; only the first of these emits the pair.
+    """
+    def pairs(side, place, node, component, n, bins, mins):
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        ok = _reachable(bins[left], n[left], bins[right], n[right], percent) & (component[left][:, None] != component[right][None, :])
+        i, j = np.nonzero(ok)
+        i, j = left[i], right[j]
+        here = _first_place(mins[i], mins[j]) == place[i]
+        i, j = i[here], j[here]
+        return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+
+    def run(batches):
+        held = None
+        for batch in _then_none(batches):
+            found = []
+            if batch is not None:
+                own = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)]
+                own.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint8).reshape(-1, BINS))
+                own.append(batch.column(9).flatten().to_numpy().reshape(batch.num_rows, -1))
+                held = own if held is None else [np.concatenate(x) for x in zip(held, own)]
+            if held is None:
+                continue
+            change = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0) | (np.diff(held[2]) != 0)) + 1
+            cuts = [0, *change.tolist(), *([len(held[0])] if batch is None else [])]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                found.append(pairs(*(x[a:b] for x in held[3:])))
+            held = [x[cuts[-1]:] for x in held]
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
+                both = np.unique(np.stack((a, b)), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
     return run
 
 
-def _open_pairs(nodes: DataFrame, m: int, labelled: DataFrame, least: int) -> DataFrame:
+def _then_none(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield batch
+    yield None
+
+
+def _open_pairs(nodes: DataFrame, m: int, labelled: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) of buckets that hold nodes of more than one component."""
-    place = nodes.join(labelled, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    part, names, keys = table_keys(m)
-    rows = place.select("node", "component", *(p.alias(c) for p, c in zip(part, names))).select("node", "component", F.explode(keys).alias("key"))
+    place = nodes.select("node", "mins").join(labelled, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = _bucket_rows(place, m, "component")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    mixed = mixed.select(F.col("key").alias("k"), "n")
-    members = save(rows.join(mixed, rows["key"] == mixed["k"]).select("key", "node", "component", "n"), "neardup-open")
-    small = members.where(F.col("n") <= SMALL_BUCKET)
-    x, y = small.alias("x"), small.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")))
-    pairs = _agreeing(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), nodes, least)
-    large = members.where(F.col("n") > SMALL_BUCKET)
-    if not large.isEmpty():
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        large = large.join(nodes.select("node", "mins"), "node").withColumn("blocks", blocks).withColumn(
-            "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        # a node goes to each block pair that holds its block
-        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", "node", "component", "mins", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-        pairs = pairs.unionByName(large.groupBy("key", "i", "j").applyInPandas(_block_pairs(least), "a long, b long"))
-    return pairs.where("a <> b").distinct()
+    members = rows.join(mixed.select(F.col("key").alias("k"), "n"), F.col("key") == F.col("k")).select("key", "place", "node", "component", "n")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    members = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a node goes to each block pair that holds its block
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "place", "node", "component")
+    members = members.join(nodes.select("node", "n_shingles", "bins", "mins"), "node").select(
+        "key", "i", "j", "side", "place", "node", "component", "n_shingles", "bins", "mins")
+    dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_block_pairs(percent), "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -213,20 +255,23 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     m = collections_for(percent / 100)
     least = agreement_for(percent / 100, 2 * m)
     base = save(signatures(documents, k, 2 * m), "neardup-base")
-    nodes = save(base.where("n_shingles > 0").select("node", "mins", "doc_id").groupBy("node").agg(
-        F.first("mins").alias("mins"), F.min("doc_id").alias("doc_id")), "neardup-nodes")
+    nodes = save(base.where("n_shingles > 0").groupBy("node").agg(
+        F.first("mins").alias("mins"), F.first("bins").alias("bins"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("doc_id")), "neardup-nodes")
     owners = nodes.select("node", "doc_id")
 
     rows = _bucket_rows(nodes, m)
-    pivots = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"), "a")
-    star = rows.join(pivots, rows["key"] == pivots["k"]).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    shuffled = F.struct(F.xxhash64("node", F.lit(1)), "node")
+    pivots = rows.groupBy("key").agg(F.min("node").alias("p0"), F.max("node").alias("p1"), F.min(shuffled)["node"].alias("p2"), F.count("*").alias("n"))
+    pivots = pivots.where("n > 1").select(F.col("key").alias("k"), F.array_distinct(F.array("p0", "p1", "p2")).alias("p"))
+    star = rows.join(pivots, rows["key"] == pivots["k"]).select(F.explode("p").alias("p"), "node").where("p <> node")
+    star = star.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
     star = save(_agreeing(star, nodes, least), "neardup-star")
     judged = save(_verify(star, owners, documents, k, percent), "neardup-judged")
     links = judged.where("linked").select("a", "b")
     labelled = save(components(links), "neardup-components")
 
-    seen = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = save(_open_pairs(nodes, m, labelled, least).join(seen, ["a", "b"], "left_anti"), "neardup-rest")
+    rest = save(_open_pairs(nodes, m, labelled, percent).join(judged.select("a", "b"), ["a", "b"], "left_anti"), "neardup-rest")
     if not rest.isEmpty():
         more = save(_verify(rest, owners, documents, k, percent).where("linked").select("a", "b"), "neardup-more")
         if not more.isEmpty():
