@@ -31,7 +31,10 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
+import sys
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ from .common import ship
 ship(__name__)
 
 #: Pieces whose ids are kept, transitions that are kept, and the longest piece kept.
-KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 600_000, 600_000, 64
+KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 300_000, 300_000, 64
 #: A long piece emits what is settled every so many bytes.
 INTERVAL = 4096
 #: Rank files beyond this many bytes are refused, as they are broadcast.
@@ -198,46 +201,45 @@ class Codec:
     """Encodes and decodes whole texts; kept by a Python worker between tasks."""
 
     def __init__(self, data: bytes, pattern: str):
-        self.data, self.pattern, self.ready = data, pattern, None
-
-    def parts(self) -> tuple[dict[int, bytes], object, Pieces]:
-        if self.ready is None:
-            transducer = Transducer(read_ranks(self.data))
-            self.ready = transducer.tokens, regex.compile(self.pattern), Pieces(transducer)
-        return self.ready
+        self.ranks = read_ranks(data)
+        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.pattern, self.pieces = regex.compile(pattern), None
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        _, pattern, pieces = self.parts()
-        return np.array(list(chain.from_iterable(map(pieces.__getitem__, pattern.findall(text)))), "<u4")
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.parts()[0].__getitem__, ids.tolist()))
+        if self.pieces is None:  # a worker that only decodes needs no transducer
+            self.pieces = Pieces(Transducer(self.ranks))
+        return np.array(list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))), "<u4")
 
-    def decode_text(self, ids: np.ndarray, block: int = 4096) -> str:
-        """The text of the ids, decoded block by block."""
+    def decode(self, ids: np.ndarray, block: int = 4096) -> tuple[bytes, str]:
+        """The bytes of the ids and their text, block by block."""
+        token = self.tokens.__getitem__
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        out = [machine.decode(self.decode(ids[i:i + block])) for i in range(0, len(ids), block)]
-        return "".join([*out, machine.decode(b"", final=True)])
+        data, text = [], []
+        for at in range(0, len(ids), block):
+            data.append(b"".join(map(token, ids[at:at + block].tolist())))
+            text.append(machine.decode(data[-1]))
+        text.append(machine.decode(b"", final=True))
+        return b"".join(data), "".join(text)
 
 
 def load_codec(spark: SparkSession, path: str, pattern: str):
-    """Broadcast dictionary with the rank file at ``path`` (local to the driver) and the pattern.
-
-    A Python worker keeps a broadcast's value between tasks, and in it the codec that its
-    first task makes, with the states and pieces known so far.
-    """
+    """Broadcast of the rank file at ``path`` (local to the driver) and the pattern."""
     with open(path, "rb") as f:
         data = f.read(MAX_RANK_BYTES + 1)
     if len(data) > MAX_RANK_BYTES:
         raise ValueError(f"{path} has more than {MAX_RANK_BYTES} bytes")
-    return spark.sparkContext.broadcast({"ranks": data, "pattern": pattern})
+    return spark.sparkContext.broadcast((data, pattern))
 
 
-def _codec(held: dict) -> Codec:
-    if "codec" not in held:
-        held["codec"] = Codec(held["ranks"], held["pattern"])
-    return held["codec"]
+def _codec(data: bytes, pattern: str) -> Codec:
+    """The worker's codec. A Python worker holds one, with the states and pieces known so far,
+    for all tasks and queries that use the same ranks and pattern."""
+    slot = sys.modules.setdefault("bpe_worker_slot", ModuleType("bpe_worker_slot"))
+    key = hashlib.sha256(data).digest(), pattern
+    if getattr(slot, "key", None) != key:
+        slot.key, slot.codec = key, Codec(data, pattern)
+    return slot.codec
 
 
 def encode(documents: DataFrame, codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +247,7 @@ def encode(documents: DataFrame, codec, id_col: str = "doc_id", text_col: str =
     rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        own = _codec(codec.value)
+        own = _codec(*codec.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -263,15 +265,15 @@ def decode(encoded: DataFrame, codec) -> DataFrame:
     fields = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def run(batches):
-        own = _codec(codec.value)
+        own = _codec(*codec.value)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                ids = [np.frombuffer(x, "<u4") for x in part.column(at).to_pylist()]
+                both = [own.decode(np.frombuffer(x, "<u4")) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([own.decode(x) for x in ids], pa.binary()),
-                     pa.array([own.decode_text(x) for x in ids], pa.string())], names=[*part.schema.names, "decoded", "text"])
+                    [*part.columns, pa.array([b for b, _ in both], pa.binary()), pa.array([t for _, t in both], pa.string())],
+                    names=[*part.schema.names, "decoded", "text"])
 
     return encoded.mapInArrow(run, fields)
 
