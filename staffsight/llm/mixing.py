@@ -105,7 +105,7 @@ def mix_report(documents: DataFrame) -> DataFrame:
 
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word."""
-    return F.regexp_extract(text, F.concat(F.lit(f"(?s)^((?:{SPACE}*+[^\\x20\\x09-\\x0D]++){{"), n.cast("string"), F.lit("}+)")), 1)
+    return F.regexp_substr(text, F.concat(F.lit(f"^(?:{SPACE}*+[^\\x20\\x09-\\x0D]++){{"), n.cast("string"), F.lit("}+")))
 
 
 def mixed_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
