@@ -48,7 +48,7 @@ from .common import ship
 ship(__name__)
 
 #: Pieces whose ids are kept, transitions that are kept, and the longest piece kept.
-KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 300_000, 300_000, 64
+KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 250_000, 150_000, 64
 #: A long piece emits what is settled every so many bytes.
 INTERVAL = 4096
 #: Rank files beyond this many bytes are refused, as they are broadcast.
@@ -84,9 +84,9 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # a state: for each start, oldest first, (trie node, token before it + 1, or 0 at the piece's start)
-        self.numbers: dict[tuple, int] = {((0, 0),): 0}
-        self.states: list[tuple] = [((0, 0),)]
+        # a state: for each start, oldest first, trie node << 24 | token before it + 1 (0: the piece's start)
+        self.numbers: dict[tuple, int] = {(0,): 0}
+        self.states: list[tuple] = [(0,)]
         self.moves: dict[int, tuple[int, int]] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -114,15 +114,16 @@ class Transducer:
         """Next state and the token that ends at the byte, worked out and kept."""
         alive, ended = [], -1
         child, ends = self.child, self.ends
-        for node, before in self.states[number]:
-            node = child.get(node << 8 | byte)
+        for start in self.states[number]:
+            before = start & 0xFFFFFF
+            node = child.get(start >> 24 << 8 | byte)
             if node is not None:
-                alive.append((node, before))
+                alive.append(node << 24 | before)
                 if ended < 0:
                     token = ends.get(node, -1)
                     if token >= 0 and self.beside(before, token):
                         ended = token
-        alive.append((0, ended + 1))
+        alive.append(ended + 1)
         state = tuple(alive)
         to = self.numbers.get(state)
         if to is None:
@@ -144,8 +145,8 @@ class Transducer:
         n, starts = len(ended), self.states[state]
         # a start's age is the depth of its trie node; the newest start is the end itself
         common = None
-        for node, before in starts:
-            at = n - self.depth(node)
+        for start in starts:
+            at = n - self.depth(start >> 24)
             ways = set(self._ways(ended, at))
             common = ways if common is None else common & ways
         return max(common, default=0)
