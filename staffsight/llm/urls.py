@@ -152,7 +152,7 @@ def judge_urls(pages: DataFrame, rules=RULES, blocked_hosts=BLOCKED_HOSTS, id_co
     universe = split.select(F.explode(F.array_distinct(F.array(*(k for _, k in asked)))).alias("key"))
     deep = sorted({b.count(".") + 1 for b in blocked_hosts})
     names = split.select("host").distinct().select(F.explode(F.array_distinct(F.array(*(suffix(h, n) for n in deep)))).alias("key"))
-    listed = lambda keys: spark.createDataFrame([(k,) for k in keys], "key string")
+    listed = lambda keys: spark.range(1).select(F.explode(F.array(*map(F.lit, keys))).alias("key"))
     universe = save(universe.distinct(), "url-keys")
     cascades = {v: Cascade.build(listed(a + b for w, a, b in rules if w == v), universe) for v in sorted({r[0] for r in rules})}
     hosts = Cascade.build(listed(blocked_hosts), names)
