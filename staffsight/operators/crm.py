@@ -23,7 +23,7 @@ PROBABILITY_LABELS = {
     "0% - Non-qualified": 0.0,
     "10% - Qualified": 0.1,
     "20% - Proposal submitted": 0.2,
-    "40% - Solution accepted / EPAM shortlisted": 0.4,
+    "40% - Solution accepted / shortlisted": 0.4,
     "60% - Verbal win notification": 0.6,
     "80% - Written win notification": 0.8,
     "90% - Contract Negotiation": 0.9,

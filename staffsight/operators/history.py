@@ -90,9 +90,11 @@ def running_status_counts(snaps: DataFrame, events: DataFrame, key: str, day_col
 def asof(left: DataFrame, right: DataFrame, key: str, day_col: str, cols: Sequence[str],
          strict: bool = False) -> DataFrame:
     """For each left row, the right values of the latest right row with day ≤ left
-    day (``strict``: <). Union + ``last(ignorenulls)`` over a per-key day order."""
+    day (``strict``: <). Union + ``last(ignorenulls)`` over a per-key day order. Of several
+    right rows on one day the one with the largest values (column by column) counts."""
     lkeys = left.select(key, day_col).distinct()
-    r = right.select(key, day_col, *cols).withColumn("__k", F.lit(0 if not strict else 1))
+    one = right.groupBy(key, day_col).agg(F.max(F.struct(*cols)).alias("__r"))
+    r = one.select(key, day_col, *[F.col("__r")[c].alias(c) for c in cols]).withColumn("__k", F.lit(0 if not strict else 1))
     probe = lkeys.withColumn("__k", F.lit(1 if not strict else 0))
     for c in cols:
         probe = probe.withColumn(c, F.lit(None).cast(right.schema[c].dataType))

@@ -1,14 +1,14 @@
 """Model quality metrics as aggregates.
 
-Regression metrics are one aggregate (exact percentiles). Classification AUCs need the
-score order: predictions are first reduced to one row per distinct score (positives and
-negatives counted, partial aggregation map-side), then cumulative counts over the score
-order come from a range-partitioned prefix sum — local running sums inside each range
-partition plus the totals of the partitions before it — so no single task sorts the data.
+Classification AUCs and exact percentiles need the value order: rows are first reduced to
+one per distinct value (partial aggregation map-side), then cumulative counts come from
+prefix sums over value ranges with fixed bounds — local running sums inside each range plus
+the totals of the ranges before it — so no single task sorts the data.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,10 +24,12 @@ def regression_metrics(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     ae = F.abs(e)
     out = df.agg(
         F.avg(y).alias("mean"), F.avg(ae).alias("mae"),
-        F.percentile(ae, 0.5).alias("median_ae"), F.percentile(ae, 0.9).alias("p90_ae"),
         F.avg(e * e).alias("mse"),
         (F.avg(F.abs(F.try_divide(e, F.col(y)))) * 100.0).alias("mape"),
         F.var_pop(y).alias("__var_y"), F.var_pop(e).alias("__var_e"))
+    ranks = exact_percentiles(df, ae, {"median_ae": 0.5, "p90_ae": 0.9})
+    names = [*out.columns, *ranks.columns]  # two one-row frames side by side
+    out = out.unionByName(ranks, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])
     return out.select("mean", "mae", "median_ae", "p90_ae", "mse", F.sqrt("mse").alias("rmse"), "mape",
                       (1.0 - F.col("mse") / F.col("__var_y")).alias("r2"),
                       (1.0 - F.col("__var_e") / F.col("__var_y")).alias("explained_variance"))
@@ -49,23 +51,48 @@ def half_life_error(df: DataFrame, y: str = "y", p: str = "p", half_life: float
     return df.agg(F.avg(F.pow(F.lit(2.0), -F.col(y) / half_life) * (over + 2.0 * under)).alias("half_life_error"))
 
 
+def range_bounds(df: DataFrame, order_col: str, n: int = 64) -> list:
+    """Up to ``n − 1`` rising bounds that cut the column into ranges of similar size: one
+    job, and only these scalars reach the driver."""
+    found = df.agg(F.percentile_approx(order_col, [i / n for i in range(1, n)], 1000)).first()[0]
+    return sorted(set(found or []))
+
+
 def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False) -> DataFrame:
     """Running sums of ``cols`` in ``order_col`` order (inclusive), without a global sort
-    in one task: range-partition by the order column, sum inside each partition, add the
-    totals of the partitions before it (a tiny table)."""
+    in one task: number each row's range from fixed bounds, sum inside each range, add the
+    totals of the ranges before it (a tiny table). The range is a function of the value
+    alone, so the sums do not depend on partition counts or on which branch reads them.
+    Nulls come lowest."""
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    d = df.repartitionByRange(n, key).withColumn("__pid", F.spark_partition_id())
+    bounds = range_bounds(df, order_col)
+    above = F.coalesce(sum(((F.col(order_col) > F.lit(b)).cast("int") for b in bounds), F.lit(0)), F.lit(0))
+    d = df.withColumn("__pid", -above if descending else above)
     w = Window.partitionBy("__pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     local = d.select("*", *[F.sum(c).over(w).alias(f"__loc_{c}") for c in cols])
     tot = d.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
-    wt = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    wt = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offs = tot.select("__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(wt), F.lit(0)).alias(f"__off_{c}")
                                  for c in cols])
     out = local.join(F.broadcast(offs), "__pid")
     return out.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"cum_{c}") for c in cols])
 
 
+def exact_percentiles(df: DataFrame, value: Column, shares: dict[str, float]) -> DataFrame:
+    """One row with a column per share: the exact percentile with linear interpolation, from
+    counts per distinct value and their running sums."""
+    values = df.select(value.alias("v")).where("v is not null")
+    total = values.count()
+    c = prefix_sums(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "v", ["n"])
+
+    def at(rank: int) -> Column:
+        return F.max(F.when((F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank), F.col("v")))
+
+    ranks = {name: max(total - 1, 0) * share for name, share in shares.items()}
+    return c.agg(*[(at(math.floor(k)) + (at(math.ceil(k)) - at(math.floor(k))) * F.lit(k - math.floor(k))).alias(name)
+                   for name, k in ranks.items()])
+
+
 def score_counts(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """One row per distinct score with its positives and negatives."""
     return df.groupBy(F.col(p).alias("score")).agg(

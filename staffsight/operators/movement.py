@@ -39,15 +39,15 @@ def hour_movement(df: DataFrame, corr: bool = False, id_col: str = "id", snap: s
     (first snapshot's) of entries present under the flag in both the first and the last
     snapshot are subtracted from every kept value."""
     pairs = snapshot_pairs(df, snap).where(F.col("next_snap").isNotNull())
-    cur = df.select(id_col, flag, snap, F.col(hours).alias("__h")).join(F.broadcast(pairs), snap)
-    nxt = df.select(id_col, flag, F.col(snap).alias("next_snap"), F.col(hours).alias("__h2")) \
+    cur = df.select(id_col, flag, snap, F.col(hours).alias("__h"), F.lit(True).alias("__in")).join(F.broadcast(pairs), snap)
+    nxt = df.select(id_col, flag, F.col(snap).alias("next_snap"), F.col(hours).alias("__h2"), F.lit(True).alias("__in2")) \
         .join(F.broadcast(pairs.select(F.col("snap").alias("__prev"), "next_snap")), "next_snap")
     j = cur.join(nxt, [id_col, flag, "next_snap"], "full")
     j = j.withColumn(snap, F.coalesce(F.col(snap), F.col("__prev")))
     out = j.groupBy(snap, "next_snap", flag).agg(
-        F.sum(F.when(F.col("__h").isNotNull() & F.col("__h2").isNotNull(), F.col("__h")).otherwise(0.0)).alias("kept_hours"),
-        F.sum(F.when(F.col("__h").isNotNull() & F.col("__h2").isNull(), F.col("__h")).otherwise(0.0)).alias("cancelled_hours"),
-        F.sum(F.when(F.col("__h").isNull() & F.col("__h2").isNotNull(), F.col("__h2")).otherwise(0.0)).alias("new_hours"))
+        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNotNull(), F.col("__h")).otherwise(0.0)).alias("kept_hours"),
+        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNull(), F.col("__h")).otherwise(0.0)).alias("cancelled_hours"),
+        F.sum(F.when(F.col("__in").isNull() & F.col("__in2").isNotNull(), F.col("__h2")).otherwise(0.0)).alias("new_hours"))
     if corr:
         bounds = df.agg(F.min(snap).alias("__first"), F.max(snap).alias("__last"))
         b = F.broadcast(bounds)
@@ -81,14 +81,15 @@ def pivot_snapshots(df: DataFrame, key: Sequence[str] | str, snaps: Sequence, va
 
 
 def with_buckets(df: DataFrame, project: str = "project_uid_projection", account: str = "account",
-                 billable: str = "billable", billing_type: str = "billing_type_name") -> DataFrame:
+                 billable: str = "billable", billing_type: str = "billing_type_name", own_account: str = "OWN") -> DataFrame:
     """``bucket`` (NPA / VAC / the account) and ``billing_bucket`` (first match:
-    vacation, billable, non-project or training, EPM temporary, other non-billable)."""
+    vacation, billable, non-project or training, temporary on the company's own account, other
+    non-billable)."""
     p = F.col(project)
     bucket = F.when(p == "npa", "NPA").when(p == "vac", "VAC").otherwise(F.col(account))
     bb = (F.when(p == "vac", "Acc_vac").when(F.col(billable), "Acc_bill")
           .when((p == "npa") | (F.col(billing_type) == "On Training"), "Acc_npa")
-          .when((F.col(account) == "EPM") & (F.col(billing_type) == "Temporary"), "EPM_npa")
+          .when((F.col(account) == own_account) & (F.col(billing_type) == "Temporary"), f"{own_account}_npa")
           .otherwise("Acc_nonbill"))
     return df.withColumn("bucket", bucket).withColumn("billing_bucket", bb)
 

@@ -108,11 +108,9 @@ def missing_predictions(registry: DataFrame, predictions: DataFrame, until, scop
     """For each model interval [date, next_date] (the newest model runs until
     ``until``), the days not fully predicted (fewer than ``n_scopes`` scopes)."""
     iv = model_validity(registry.select(scope_col, date_col).distinct(), scope_col, date_col)
-    days = (iv.select(scope_col, date_col,
-                      F.explode(F.sequence(F.col(date_col),
-                                           F.coalesce(F.col("next_date"), F.lit(until).cast("date"))))
-                      .alias("day"))
-            .select("day").distinct())
+    upto = F.coalesce(F.col("next_date"), F.lit(until).cast("date"))
+    # a newest model after ``until`` has no day to predict; sequence() would count backwards
+    days = iv.where(F.col(date_col) <= upto).select(F.explode(F.sequence(F.col(date_col), upto)).alias("day")).distinct()
     done = complete_days(predictions, date_col, scope_col, n_scopes=n_scopes)
     return days.join(done.withColumnRenamed(date_col, "day"), "day", "left_anti")
 

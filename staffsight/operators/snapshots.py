@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import days_between
 
-# Largest day list joined by broadcast; beyond it the history side is expanded to days
-# and equi-joined (shuffle on day, AQE splits hot days).
-MAX_BROADCAST_DAYS = 20_000
 
 
 def valid_on(day: Column, frm: Column, to: Column) -> Column:
@@ -23,36 +20,26 @@ def valid_on(day: Column, frm: Column, to: Column) -> Column:
     return (frm.cast("timestamp_ntz") <= d) & (to.isNull() | (d < to.cast("timestamp_ntz")))
 
 
-def _bounded_count(df: DataFrame, bound: int) -> int:
-    return df.limit(bound + 1).count()
-
-
 def validity_join(days: DataFrame, hist: DataFrame, frm: str = "valid_from", to: str = "valid_to",
-                  day_col: str = "day", how: str = "left",
-                  max_broadcast_days: int = MAX_BROADCAST_DAYS) -> DataFrame:
+                  day_col: str = "day", how: str = "left") -> DataFrame:
     """Attach to each snapshot day every history row valid on that day.
 
     ``how='left'`` keeps days that see no row (history columns null), ``'inner'`` drops
-    them. The day list is checked against ``max_broadcast_days``: under it the days are
-    broadcast and every history row is compared with them in place (no shuffle of the
-    history); over it each history row is expanded to the days of its range inside the
-    day span and equi-joined on the day.
+    them. Each history row is expanded to the months of its range inside the day span and
+    equi-joined with the days on the month; the exact range test is the join's residual.
+    A row without a start is never valid.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     days = days.select(F.col(day_col).cast("date").alias(day_col)).distinct()
-    n_days = _bounded_count(days, max_broadcast_days)
-    if n_days <= max_broadcast_days:
-        cond = valid_on(F.col(day_col), F.col(frm), F.col(to))
-        matched = hist.join(F.broadcast(days), cond, "inner")
-    else:
-        lo, hi = days.agg(F.min(day_col), F.max(day_col)).first()  # two scalars
-        first, last = _first_last_day(F.col(frm), F.col(to))
-        a, b = F.greatest(first, F.lit(lo)), F.least(F.coalesce(last, F.lit(hi)), F.lit(hi))
-        expanded = (hist.where(a <= b)
-                    .withColumn(day_col, F.explode(F.sequence(a, b))))
-        matched = expanded.join(days, day_col, "inner")
-    matched = matched.select(day_col, *[c for c in hist.columns if c != day_col])
+    lo, hi = days.agg(F.min(day_col), F.max(day_col)).first()  # two scalars
+    first, last = _first_last_day(F.col(frm), F.col(to))
+    a, b = F.greatest(first, F.lit(lo).cast("date")), F.least(last, F.lit(hi).cast("date"))
+    months = F.sequence(F.trunc(a, "MM"), F.trunc(b, "MM"), F.expr("interval 1 month"))
+    by_month = hist.where(F.col(frm).isNotNull() & (a <= b)).withColumn("__m", F.explode(months))
+    on_day = days.select(F.col(day_col).alias("__day"), F.trunc(day_col, "MM").alias("__month"))
+    matched = by_month.join(on_day, (F.col("__m") == F.col("__month")) & valid_on(F.col("__day"), F.col(frm), F.col(to)))
+    matched = matched.select(F.col("__day").alias(day_col), *[c for c in hist.columns if c != day_col])
     if how == "inner":
         return matched
     # days some row covers, from the sweep (O(rows)) rather than from the joined rows,
@@ -86,7 +73,7 @@ def validity_counts(days: DataFrame, hist: DataFrame, by: Sequence[str] = (), fr
     from pyspark.sql import Window
     by = list(by)
     first, last = _first_last_day(F.col(frm), F.col(to))
-    ev = hist.select(*by, first.alias("__a"), last.alias("__b")).where(F.col("__b").isNull() | (F.col("__a") <= F.col("__b")))
+    ev = hist.where(F.col(frm).isNotNull()).select(*by, first.alias("__a"), last.alias("__b")).where(F.col("__b").isNull() | (F.col("__a") <= F.col("__b")))
     deltas = F.array(F.struct(F.col("__a").alias("__e"), F.lit(1).alias("__d")),
                      F.struct(F.date_add(F.col("__b"), 1).alias("__e"), F.lit(-1).alias("__d")))
     ev = (ev.select(*by, F.explode(deltas).alias("__x")).where(F.col("__x.__e").isNotNull())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,46 +35,38 @@ def x_y(df: DataFrame, target: str = "target", helpers: Sequence[str] = HELPER_C
     return df.drop(*[h for h in helpers if h in df.columns]), df.select(target)
 
 
+#: The smallest step of time: windows close one tick before the next one opens.
+TICK = dt.timedelta(microseconds=1)
+
+
 def rolling_folds(start, end, n: int = 3, alf: float = 0.25) -> list[tuple[dt.datetime, ...]]:
-    """M2: n folds of (train start, train end, validation start, validation end) with the
-    training window 1/alf − 1 times the validation length, sliding by one step t =
-    round(days / (n + 1/alf − 1)) days (half away from zero); the last validation window
-    runs to the end day. Ends are inclusive to the microsecond before the next start."""
-    s, e = _d(start), _d(end)
-    delt = 1 / alf - 1
-    x = (e - s).days / (n + delt)
-    t = float(int(x + 0.5)) if x >= 0 else -float(int(-x + 0.5))
-    one = relativedelta(microseconds=-1)
-    out = []
-    for i in range(n):
-        st = s + dt.timedelta(days=t * i)
-        et = s + dt.timedelta(days=t * (i + delt)) + one
-        sv = s + dt.timedelta(days=t * (i + delt))
-        ev = e + relativedelta(days=1, microseconds=-1) if i == n - 1 else s + dt.timedelta(days=t * (i + delt + 1)) + one
-        out.append((st, et, sv, ev))
-    return out
+    """M2: n folds of (train start, train end, validation start, validation end). Time is
+    measured in validation lengths: fold k opens at k, its validation at k + 1/alf − 1 and
+    ends at k + 1/alf, where the period holds n + 1/alf − 1 lengths of whole days (rounded
+    half up). The last validation takes in the end day."""
+    origin, close = _d(start), _d(end) + dt.timedelta(days=1)
+    lengths = n + 1 / alf - 1
+    length = dt.timedelta(days=int(Decimal((_d(end) - origin).days / lengths).quantize(Decimal(1), ROUND_HALF_UP)))
+    marks = [[origin + length * (k + shift) for shift in (0, 1 / alf - 1, 1 / alf)] for k in range(n)]
+    marks[-1][2] = close
+    return [(opens, splits - TICK, splits, ends - TICK) for opens, splits, ends in marks]
 
 
 def monthly_folds(start, end, n: int = 3, train_len: int = 3, test_len: int = 1) -> list[tuple[dt.datetime, ...]]:
-    """M3: n folds counted back from the end: fold i validates the ``test_len`` months
-    ending ``i`` months before the end and trains on the ``train_len`` months before that.
-    Raises when n exceeds the folds the period holds."""
-    s, e = _d(start), _d(end)
-    months, d = 0, s
-    while d <= e + relativedelta(days=1):
-        months += 1
-        d = d + relativedelta(months=1)
-    max_n = (months - 1 - train_len) // test_len
-    if n > max_n:
-        raise ValueError(f"number of folds cannot be larger than {max_n}")
-    out = []
-    for i in range(n):
-        ev = e - relativedelta(months=i)
-        sv = e - relativedelta(months=test_len + i) + relativedelta(days=1)
-        et = e - relativedelta(months=test_len + i)
-        st = e - relativedelta(months=test_len + train_len + i) + relativedelta(days=1)
-        out.append((st, et, sv, ev))
-    return out
+    """M3: fold k validates the ``test_len`` months that end k months before the end, and
+    trains on the ``train_len`` months before those. Raises when n exceeds the folds the
+    period holds."""
+    last = _d(end)
+    span = relativedelta(last + dt.timedelta(days=1), _d(start))
+    room = (12 * span.years + span.months - train_len) // test_len
+    if n > room:
+        raise ValueError(f"the period holds {room} folds, {n} asked for")
+
+    def window(far: int, near: int) -> tuple[dt.datetime, dt.datetime]:
+        """The months between two distances from the end."""
+        return last - relativedelta(months=far) + dt.timedelta(days=1), last - relativedelta(months=near)
+
+    return [(*window(k + test_len + train_len, k + test_len), *window(k + test_len, k)) for k in range(n)]
 
 
 def fold_table(spark: SparkSession, folds) -> DataFrame:

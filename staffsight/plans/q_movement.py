@@ -21,7 +21,7 @@ def entries(t):
     return (fx.v_snap(t)
             .withColumn("project_uid_projection", F.when(i % 10 == 0, "npa").when(i % 10 == 1, "vac")
                         .otherwise(F.concat(F.lit("P"), (i % 7).cast("string"))))
-            .withColumn("account", F.when(i % 7 == 3, "EPM").otherwise(F.concat(F.lit("ACC"), (i % 4).cast("string"))))
+            .withColumn("account", F.when(i % 7 == 3, "OWN").otherwise(F.concat(F.lit("ACC"), (i % 4).cast("string"))))
             .withColumn("billing_type_name", F.when(i % 5 == 0, "On Training").when(i % 5 == 1, "Temporary")
                         .otherwise("Regular"))
             .withColumn("person", (i / 1000).cast("long")))
@@ -30,7 +30,7 @@ def entries(t):
 _ENTRIES_SQL = """
 e as (select *, case when id % 10 = 0 then 'npa' when id % 10 = 1 then 'vac' else 'P' || cast(id % 7 as varchar) end
         as project_uid_projection,
-        case when id % 7 = 3 then 'EPM' else 'ACC' || cast(id % 4 as varchar) end as account,
+        case when id % 7 = 3 then 'OWN' else 'ACC' || cast(id % 4 as varchar) end as account,
         case when id % 5 = 0 then 'On Training' when id % 5 = 1 then 'Temporary' else 'Regular' end as billing_type_name,
         id // 1000 as person
       from v_snap),
@@ -38,7 +38,7 @@ b as (select *, case when project_uid_projection = 'npa' then 'NPA' when project
                      else account end as bucket,
         case when project_uid_projection = 'vac' then 'Acc_vac' when billable then 'Acc_bill'
              when project_uid_projection = 'npa' or billing_type_name = 'On Training' then 'Acc_npa'
-             when account = 'EPM' and billing_type_name = 'Temporary' then 'EPM_npa' else 'Acc_nonbill' end
+             when account = 'OWN' and billing_type_name = 'Temporary' then 'OWN_npa' else 'Acc_nonbill' end
           as billing_bucket
       from e)"""
 

@@ -74,7 +74,7 @@ def q_validity_join_many(spark, sf_dir):
     t = Tables(spark, sf_dir)
     days = io.date_series(spark, "1994-12-01", "1999-12-31", 1)
     pos = fx.v_position(t).select("position_id", "valid_from", "valid_to")
-    j = snap.validity_join(days, pos, max_broadcast_days=100)
+    j = snap.validity_join(days, pos)
     return j.groupBy("day").agg(F.count("position_id").alias("n_open"))
 
 

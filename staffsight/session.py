@@ -40,12 +40,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder and is
-    used as is. Only when it is unset (local tests) a scratch folder is created.
+    used as is. Where it is unset a local master (tests) gets a scratch folder, and any
+    other master is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="staffsight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -3,13 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from staffsight.plans.registry import ORACLES, QUERIES
 from tools.check_oracle import rows_of
 
 from .conftest import SMOKE
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
@@ -17,6 +15,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+def test_registry_is_exposed():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_every_query_has_an_oracle_or_is_listed():
     without = sorted(set(QUERIES) - set(ORACLES))
     # operators SQL cannot state (iterative matching, model fits, writes) are rows-only
