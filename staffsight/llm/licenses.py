@@ -17,6 +17,8 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,11 @@ SPELLINGS = (
     (r"\bv(ersion)?\.? ?([0-9])", r"version \2"),
 )
 
+#: Letters that every known text has, whatever its spelling. Canonical forms keep
+#: letters together that stand together, and no spelling rule makes these up, so a text
+#: without any of them matches nothing and needs no canonical form.
+ANCHORS = ("licen", "permission")
+
 #: A line that is only a copyright notice: it names a year or a (c) mark.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|\(c\)|©)[^\n]*$"
 
@@ -93,13 +100,19 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
             .select(F.sha2(canonical(F.col("body")), 256).alias("digest"), "license").distinct())
 
 
+def _has_anchor(text: Column) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(F.lower(text), F.lit(a)) for a in ANCHORS))
+
+
 def scan_licenses(documents: DataFrame, known=KNOWN) -> DataFrame:
     """doc_id, unit ('text' or 'line'), line_no (0 for the text), license, digest."""
-    # a statement cannot be shorter than the canonical form it has to reach
-    text = F.coalesce(F.col("text"), F.lit(""))
-    units = documents.select("doc_id", F.posexplode(F.concat(F.array(text), F.split(text, "\n"))).alias("line_no", "body"))
-    least = min(len(body) for _, body in known) // 2
-    looked = units.where(F.length("body") >= least).select(
+    anchored = all(any(a in body.lower() for a in ANCHORS) for _, body in known)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select("doc_id", text.alias("text"))
+    rows = rows.where(_has_anchor(F.col("text"))) if anchored else rows
+    units = rows.select("doc_id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("line_no", "body"))
+    units = units.where(_has_anchor(F.col("body"))) if anchored else units
+    looked = units.select(
         "doc_id", F.when(F.col("line_no") == 0, "text").otherwise("line").alias("unit"),
         F.col("line_no").cast("long").alias("line_no"), F.sha2(canonical(F.col("body")), 256).alias("digest"))
     return looked.join(F.broadcast(known_digests(documents.sparkSession, known)), "digest").select(
