@@ -139,26 +139,40 @@ def multi_hot_long(df: DataFrame, key: Sequence[str] | str, col: str, min_df: in
                     F.lit(1).alias("value")))
 
 
+#: CountVectorizer keeps the commonest ``vocabSize`` values; at its largest, ``min_df`` alone decides.
+ALL_VALUES = 2**31 - 1
+
+
+def value_arrays(df: DataFrame, categorical: Sequence[str], multicategorical: Sequence[str],
+                 numeric: Sequence[str]) -> DataFrame:
+    """``df`` with the inputs of ``value_vectors``; null: UNDEFINED, an empty list, 0."""
+    text = "array<string>"
+    return df.withColumns({
+        **{f"__arr_{c}": F.array(F.coalesce(F.col(c).cast("string"), F.lit(UNDEFINED))) for c in categorical},
+        **{f"__arr_{c}": F.coalesce(F.col(c).cast(text), F.array().cast(text)) for c in multicategorical},
+    }).fillna(0, subset=list(numeric))
+
+
+def value_vectors(categorical: Sequence[str], multicategorical: Sequence[str], numeric: Sequence[str],
+                  min_df: int, output: str = "features") -> list:
+    """Spark ML stages over ``value_arrays``: a binary vector per (multi-)categorical column
+    over the values in at least ``min_df`` rows, then one vector with the numeric columns."""
+    from pyspark.ml.feature import CountVectorizer, VectorAssembler
+    cols = [*categorical, *multicategorical]
+    return [*(CountVectorizer(inputCol=f"__arr_{c}", outputCol=f"__vec_{c}", binary=True, minDF=float(min_df),
+                              vocabSize=ALL_VALUES) for c in cols),
+            VectorAssembler(inputCols=[*(f"__vec_{c}" for c in cols), *numeric], outputCol=output, handleInvalid="keep")]
+
+
 def assemble(df: DataFrame, categorical: Sequence[str] = (), multicategorical: Sequence[str] = (),
              numeric: Sequence[str] = (), min_df: int = 5, output: str = "features"):
     """Spark ML stages — binary CountVectorizer (minDF) per categorical and
     multi-categorical column, numeric pass-through, one VectorAssembler. Returns the
     fitted PipelineModel, the transformed frame and the feature names."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import CountVectorizer, VectorAssembler
 
-    stages, inputs, prep = [], [], df
-    for c in categorical:
-        prep = prep.withColumn(f"__arr_{c}", F.array(F.coalesce(F.col(c).cast("string"), F.lit(UNDEFINED))))
-        stages.append(CountVectorizer(inputCol=f"__arr_{c}", outputCol=f"__vec_{c}", binary=True, minDF=float(min_df)))
-        inputs.append(f"__vec_{c}")
-    for c in multicategorical:
-        prep = prep.withColumn(f"__arr_{c}", F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")))
-        stages.append(CountVectorizer(inputCol=f"__arr_{c}", outputCol=f"__vec_{c}", binary=True, minDF=float(min_df)))
-        inputs.append(f"__vec_{c}")
-    prep = prep.fillna(0, subset=list(numeric))
-    inputs += list(numeric)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep"))
+    prep = value_arrays(df, categorical, multicategorical, numeric)
+    stages = value_vectors(categorical, multicategorical, numeric, min_df, output)
     model = Pipeline(stages=stages).fit(prep)
     names = []
     for c, st in zip(list(categorical) + list(multicategorical), model.stages[:-1]):

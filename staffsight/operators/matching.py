@@ -64,7 +64,7 @@ def positions_in_period(positions: DataFrame, workload: DataFrame, period,
 
 
 def greedy_match(edges: DataFrame, left: str = "position_id", right: str = "employee_id",
-                 order: Sequence[str] = ("position_importance", "score"), max_rounds: int = 100_000) -> DataFrame:
+                 order: Sequence[str] = ("position_importance", "score")) -> DataFrame:
     """One-to-one matching equal to the sequential greedy pass (take the best
     remaining edge, drop its two ends, repeat).
 
@@ -75,7 +75,7 @@ def greedy_match(edges: DataFrame, left: str = "position_id", right: str = "empl
     touching them. Per-end maxima are partial aggregates (no sort of a hot key). Each
     round's remainder is checkpointed to the cluster's checkpoint folder, which cuts the
     lineage and survives executor loss. Edges with a null order value are dropped first;
-    an empty edge set gives an empty result. Raises when ``max_rounds`` is exceeded.
+    an empty edge set gives an empty result. Every round removes an edge, so it ends.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -85,11 +85,7 @@ def greedy_match(edges: DataFrame, left: str = "position_id", right: str = "empl
     rank = F.struct(*[F.col(c) for c in order], F.col(left), F.col(right))
     remaining = edges.where(cond).select(rank.alias("__k")).distinct().checkpoint(eager=True)
     accepted = []
-    rounds = 0
     while not remaining.isEmpty():
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"greedy matching did not finish in {max_rounds} rounds")
         best_l = remaining.groupBy(F.col("__k")[left].alias("__l")).agg(F.max("__k").alias("__k"))
         best_r = remaining.groupBy(F.col("__k")[right].alias("__r")).agg(F.max("__k").alias("__k"))
         acc = best_l.select("__k").join(best_r.select("__k"), "__k").checkpoint(eager=True)

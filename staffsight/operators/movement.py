@@ -39,9 +39,9 @@ def hour_movement(df: DataFrame, corr: bool = False, id_col: str = "id", snap: s
     (first snapshot's) of entries present under the flag in both the first and the last
     snapshot are subtracted from every kept value."""
     pairs = snapshot_pairs(df, snap).where(F.col("next_snap").isNotNull())
-    cur = df.select(id_col, flag, snap, F.col(hours).alias("__h"), F.lit(True).alias("__in")).join(F.broadcast(pairs), snap)
+    cur = df.select(id_col, flag, snap, F.col(hours).alias("__h"), F.lit(True).alias("__in")).join(pairs, snap)
     nxt = df.select(id_col, flag, F.col(snap).alias("next_snap"), F.col(hours).alias("__h2"), F.lit(True).alias("__in2")) \
-        .join(F.broadcast(pairs.select(F.col("snap").alias("__prev"), "next_snap")), "next_snap")
+        .join(pairs.select(F.col("snap").alias("__prev"), "next_snap"), "next_snap")
     j = cur.join(nxt, [id_col, flag, "next_snap"], "full")
     j = j.withColumn(snap, F.coalesce(F.col(snap), F.col("__prev")))
     out = j.groupBy(snap, "next_snap", flag).agg(
@@ -54,7 +54,7 @@ def hour_movement(df: DataFrame, corr: bool = False, id_col: str = "id", snap: s
         first = df.join(b, F.col(snap) == F.col("__first")).select(id_col, flag, F.col(hours).alias("__hf"))
         last = df.join(b, F.col(snap) == F.col("__last")).select(id_col, flag)
         c = first.join(last, [id_col, flag], "left_semi").groupBy(flag).agg(F.sum("__hf").alias("__corr"))
-        out = (out.join(F.broadcast(c), flag, "left")
+        out = (out.join(c, flag, "left")
                .withColumn("kept_hours", F.col("kept_hours") - F.coalesce(F.col("__corr"), F.lit(0.0))).drop("__corr"))
     return out
 

@@ -25,7 +25,6 @@ CITY_LEVEL = "staffing_locations_city_id"
 COUNTRY_LEVEL = "staffing_locations_country_id"
 SKILL_LEVELS = ("primary_skill_id", "primary_skill_category_id", "skill_prefix")
 TOTAL = "total"
-MAX_TARGETS = 500
 
 
 def target_slug(target: str) -> str:
@@ -47,17 +46,18 @@ def feature_names(prefix: str, targets: Sequence[str]) -> list[str]:
             for l in (CITY_LEVEL, COUNTRY_LEVEL, TOTAL) for s in (*SKILL_LEVELS, TOTAL) for t in targets]
 
 
-def _targets(feat: DataFrame, target_col: str, targets: Sequence[str] | None) -> list[str]:
-    if targets is not None:
-        return list(targets)
-    vals = [r[0] for r in feat.select(target_col).distinct().limit(MAX_TARGETS + 1).collect()]
-    if len(vals) > MAX_TARGETS:
-        raise ValueError("too many target values for a pivot; pass them explicitly")
-    return sorted(v for v in vals if v is not None)
+def _checked_targets(targets: Sequence[str]) -> list[str]:
+    """The targets, none of which may share a column name with another."""
+    by_slug: dict[str, str] = {}
+    for t in targets:
+        other = by_slug.setdefault(target_slug(t), t)
+        if other != t:
+            raise ValueError(f"targets {other!r} and {t!r} share the column name {target_slug(t)!r}")
+    return list(by_slug.values())
 
 
 def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col: str, prefix: str,
-                    targets: Sequence[str] | None = None, key: str = "position_id", day_col: str = "day",
+                    targets: Sequence[str], key: str = "position_id", day_col: str = "day",
                     city_col: str = "city_id", country_col: str = "country_id",
                     scope_key: str | None = None, res_type: str = "int") -> DataFrame:
     """A4: feature summed at twelve location × skill levels per target, attached to each
@@ -68,10 +68,11 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
     ``skill_prefix``. ``feat``: rows (day, skill columns, city, country, target, value).
     Location levels add each *distinct* city (country) of the position once; the other
     levels read the value at the position's own skill key. Missing → 0; the result is cast
-    to ``res_type``. ``scope_key`` (A6) is an extra key on both sides (customer,
+    to ``res_type``. ``targets`` names the values that become columns (their names must
+    differ after lower-casing; rows with other or null targets count nowhere). ``scope_key`` (A6) is an extra key on both sides (customer,
     container). Output: ``key, day[, scope], <prefix>_<target>_<level>...``.
     """
-    tv = _targets(feat, target_col, targets)
+    tv = _checked_targets(targets)
     base = [day_col] + ([scope_key] if scope_key else [])
     lvl_cols = [city_col, country_col, *SKILL_LEVELS]
     f = feat.select(*base, F.col(target_col).alias("__target"), F.col(value_col).alias("__value"),

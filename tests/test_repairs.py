@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from staffsight.operators import history, metrics, movement, runs, splits
+from staffsight.operators import encode, history, metrics, movement, rollups, runs, splits
 
 
 @pytest.mark.parametrize("partitions", ["1", "8", "64"])
@@ -80,3 +80,15 @@ def test_fold_bounds():
         d(2024, 2, 29) + dt.timedelta(days=1), d(2024, 4, 30), d(2024, 5, 1), d(2024, 5, 30))
     with pytest.raises(ValueError):
         splits.monthly_folds("2024-01-01", "2024-06-30", n=5, train_len=2, test_len=1)
+
+
+def test_targets_that_share_a_column_name_are_refused():
+    assert rollups._checked_targets(["On Hold", "Open"]) == ["On Hold", "Open"]
+    with pytest.raises(ValueError):
+        rollups._checked_targets(["On Hold", "on hold"])
+
+
+def test_assembled_vectors_keep_every_value_of_min_df(spark):
+    rows = spark.range(300_000).selectExpr("id", "cast(id as string) as name", "1.0 as weight")
+    _, _, names = encode.assemble(rows, ["name"], [], ["weight"], min_df=1)
+    assert len(names) == 300_001
