@@ -88,10 +88,6 @@ def period_bounds(run_date) -> tuple[Column, Column]:
     return start, F.add_months(start, 1)
 
 
-def quarter_index(year, month) -> Column:
-    return _c(year) * 4 + F.floor((_c(month) - 1) / 3).cast("int") + 1
-
-
 def period_index(year, month, periods_per_year: int) -> Column:
     """Integer index of the month/quarter/half/year containing (year, month).
 

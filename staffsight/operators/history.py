@@ -269,7 +269,3 @@ def distance_features(df: DataFrame, date_col: str, day_col: str = "day",
         out = out.withColumn(f"{na}_div_{den}", safe_ratio(F.col(na) * 100.0, F.col(den)))
         out = out.withColumn(f"{nb}_div_{den}", safe_ratio(F.col(nb) * 100.0, F.col(den)))
     return out
-
-
-def with_column_list(df: DataFrame, exprs: Sequence[tuple[str, Column]]) -> DataFrame:
-    return df.select("*", *[e.alias(n) for n, e in exprs])

@@ -11,9 +11,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import days_between
-
-
 
 def valid_on(day: Column, frm: Column, to: Column) -> Column:
     d = day.cast("timestamp_ntz")
@@ -160,8 +157,3 @@ def with_group_max(df: DataFrame, key: str | Sequence[str], col: str, out_col: s
     """
     keys = [key] if isinstance(key, str) else list(key)
     return df.join(df.groupBy(*keys).agg(F.max(col).alias(out_col)), keys, "left")
-
-
-def days_since_created(df: DataFrame, day_col: str = "day", created_col: str = "created",
-                       out_col: str = "time_after_creation") -> DataFrame:
-    return df.withColumn(out_col, days_between(created_col, day_col))
