@@ -12,20 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffsight.llm import bpe, mixing, neardup, pii, quality
-from staffsight.llm.common import save, table
+from staffsight.llm.common import row_key, save, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules of operator 8 keep; rows with equal ids are judged as one."""
-    verdict = quality.judge(docs, table(spark, sf_dir, "labels")).groupBy("doc_id").agg(F.min("kept").alias("stays"))
-    verdict = verdict.where("stays").select(F.col("doc_id").alias("of"))
-    return docs.join(verdict, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
+    """Documents that the rules of operator 8 keep; every row is judged by itself, whatever its id."""
+    verdict = quality.judge(docs, table(spark, sf_dir, "labels"), row=row_key(docs))
+    return _taken(docs, verdict.where("kept").select("row")).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8), the one with the smallest id."""
-    stays = neardup.near_duplicates(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("of")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near copies (five words, similarity 0.8), the one with the smallest id.
+
+    Of several rows with that id (or with none) in a group one is taken by a hash of its columns;
+    texts without words are in no group. Equal rows become one; other rows with one id all stay.
+    """
+    stays = neardup.first_rows(docs, row_key(docs), k=5, percent=80)
+    return _taken(docs, stays).dropDuplicates(["key"]).select("doc.*")
+
+
+def _taken(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """key, doc (all columns) of the documents whose row key is in ``rows``."""
+    keyed = docs.select(row_key(docs).alias("key"), F.struct("*").alias("doc"))
+    return keyed.join(rows, F.col("key") == F.col("row"), "left_semi")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(df: DataFrame) -> Column:
+    """128 hash bits of all (scalar) columns of ``df``: the same for equal rows, whatever their ids."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # hashes skip nulls, so which columns are null is hashed too
+    parts = [*(c.isNull() for c in columns), *columns]
+    return F.concat_ws("-", F.xxhash64(F.lit(1), *parts).cast("string"), F.xxhash64(F.lit(2), *parts).cast("string"))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

@@ -90,15 +90,17 @@ def _hasher(k: int, hashes: int):
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n_set, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(n_set) + 1, dtype=np.int32) * hashes), pa.array(values)),
-                pa.array(bins, pa.binary()),
-            ], names=["doc_id", "n_shingles", "node", "mins", "bins"])
+                pa.array(bins, pa.binary()), *batch.columns[2:],
+            ], names=["doc_id", "n_shingles", "node", "mins", "bins", "row"][:3 + batch.num_columns])
     return run
 
 
-def signatures(documents: DataFrame, k: int, hashes: int) -> DataFrame:
-    """doc_id, n_shingles, node (set fingerprint), mins, bins (counts of shingles) for every document."""
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_hasher(k, hashes), "doc_id long, n_shingles long, node long, mins array<long>, bins binary")
+def signatures(documents: DataFrame, k: int, hashes: int, row: Column | None = None) -> DataFrame:
+    """doc_id, n_shingles, node (set fingerprint), mins, bins (counts of shingles) for every document; and ``row`` if given."""
+    key = [] if row is None else [row.alias("row")]
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), *key)
+    schema = "doc_id long, n_shingles long, node long, mins array<long>, bins binary"
+    return rows.mapInArrow(_hasher(k, hashes), schema + ", row string" * len(key))
 
 
 def _bucket_rows(nodes: DataFrame, m: int, *keep: str) -> DataFrame:
@@ -133,14 +135,13 @@ def _verifier(k: int, percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, owners: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, owners: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b, linked): the pairs judged on the full sets of their texts.
 
-    ``owners`` (node, doc_id) names a document of each node; only their texts are moved.
+    ``owners`` (node, owner) names the ``id`` in ``texts`` of a document of each node; only their texts are moved.
     """
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(needed, texts["id"].eqNullSafe(needed["doc_id"])).select("node", "doc_id", "text")
+    found = texts.join(needed, texts["id"].eqNullSafe(needed["owner"])).select("node", "owner", "text")
     # rows with the same id but another text are not the node's: keep the text that hashes to it
     found = found.mapInArrow(_own_text(k), "node long, text string").dropDuplicates(["node"])
     found = save(found, "neardup-texts")
@@ -246,19 +247,20 @@ def _open_pairs(nodes: DataFrame, m: int, labelled: DataFrame, percent: int) ->
     return dealt.mapInArrow(_block_pairs(percent), "a long, b long").where("a <> b").distinct()
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every document.
+def _grouped(documents: DataFrame, k: int, percent: int, row: Column | None = None) -> DataFrame:
+    """doc_id, n_shingles, group (of near copies, null for empty sets) for every document; and ``row`` if given.
 
-    Texts are linked if 100 * |intersection| >= percent * |union| of their sets of ``k``-word
-    shingles; component_id is the smallest doc_id reachable over links.
+    ``row`` also names the texts, which doc_id does slowly if it is null or repeated in many rows.
     """
+    key = "doc_id" if row is None else "row"
+    texts = documents.select((F.col("doc_id").cast("long") if row is None else row).alias("id"), F.col("text").cast("string").alias("text"))
     m = collections_for(percent / 100)
     least = agreement_for(percent / 100, 2 * m)
-    base = save(signatures(documents, k, 2 * m), "neardup-base")
+    base = save(signatures(documents, k, 2 * m, row), "neardup-base")
     nodes = save(base.where("n_shingles > 0").groupBy("node").agg(
         F.first("mins").alias("mins"), F.first("bins").alias("bins"), F.first("n_shingles").alias("n_shingles"),
-        F.min("doc_id").alias("doc_id")), "neardup-nodes")
-    owners = nodes.select("node", "doc_id")
+        F.min(key).alias("owner")), "neardup-nodes")
+    owners = nodes.select("node", "owner")
 
     rows = _bucket_rows(nodes, m)
     shuffled = F.struct(F.xxhash64("node", F.lit(1)), "node")
@@ -267,26 +269,43 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     star = rows.join(pivots, rows["key"] == pivots["k"]).select(F.explode("p").alias("p"), "node").where("p <> node")
     star = star.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
     star = save(_agreeing(star, nodes, least), "neardup-star")
-    judged = save(_verify(star, owners, documents, k, percent), "neardup-judged")
+    judged = save(_verify(star, owners, texts, k, percent), "neardup-judged")
     links = judged.where("linked").select("a", "b")
     labelled = save(components(links), "neardup-components")
 
     rest = save(_open_pairs(nodes, m, labelled, percent).join(judged.select("a", "b"), ["a", "b"], "left_anti"), "neardup-rest")
     if not rest.isEmpty():
-        more = save(_verify(rest, owners, documents, k, percent).where("linked").select("a", "b"), "neardup-more")
+        more = save(_verify(rest, owners, texts, k, percent).where("linked").select("a", "b"), "neardup-more")
         if not more.isEmpty():
             known = labelled.select(F.col("node").alias("a"), F.col("component").alias("b"))
             labelled = save(components(known.unionByName(more)), "neardup-components")
 
-    placed = base.select("doc_id", "n_shingles", "node").join(labelled, "node", "left")
-    group = F.coalesce("component", "node")
-    lowest = (placed.where("n_shingles > 0").groupBy(group.alias("g")).agg(F.min("doc_id").alias("component_id")))
-    out = placed.withColumn("of", F.when(F.col("n_shingles") > 0, group)).join(lowest, F.col("of") == F.col("g"), "left")
+    placed = base.drop("mins", "bins").join(labelled, "node", "left")
+    return placed.withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))).drop("node", "component")
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every document.
+
+    Texts are linked if 100 * |intersection| >= percent * |union| of their sets of ``k``-word
+    shingles; component_id is the smallest doc_id reachable over links.
+    """
+    placed = _grouped(documents, k, percent)
+    lowest = placed.where("group IS NOT NULL").groupBy(F.col("group").alias("g")).agg(F.min("doc_id").alias("component_id"))
+    out = placed.join(lowest, F.col("group") == F.col("g"), "left")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component_id).alias("kept"))
 
 
+def first_rows(documents: DataFrame, row: Column, k: int = 5, percent: int = 80) -> DataFrame:
+    """row: of each group of near copies the one with the smallest (doc_id, row), null ids last; all with empty sets."""
+    placed = _grouped(documents, k, percent, row)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))["row"]
+    first = placed.where("group IS NOT NULL").groupBy("group").agg(least.alias("row")).select("row")
+    return first.unionByName(placed.where("n_shingles = 0").select("row"))
+
+
 def oracle(k: int = 3, percent: int = 85) -> str:
     """The query as DuckDB SQL: counts of shared shingles over all pairs that share one."""
     space = r"[\x20\x09-\x0D]"

@@ -65,21 +65,23 @@ def _covered(windows: Column) -> Column:
     return F.aggregate(gaps, F.lit(0), lambda a, b: a + b)
 
 
-def measure(documents: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
+def measure(documents: DataFrame, stratum: str = "lang", row: Column | None = None) -> DataFrame:
+    """doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words; and ``row`` if given."""
+    key = [] if row is None else ["row"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # two steps, so that the words, lines and windows of a text are made once each
     first = documents.select(
         "doc_id", F.col(stratum).cast("string").alias("stratum"), words(text).alias("w"),
+        *(row.alias(c) for c in key),
         (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).alias("n_symbols"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     second = first.select(
-        "doc_id", "stratum", "n_symbols", F.size("w").alias("n_words"),
+        "doc_id", "stratum", *key, "n_symbols", F.size("w").alias("n_words"),
         F.length(F.array_join("w", "")).alias("word_chars"), F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         _windows(F.col("w")).alias("windows"))
     return second.select(
-        "doc_id", "stratum",
+        "doc_id", "stratum", *key,
         *(F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines")),
         F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0)).otherwise(
             _covered(F.col("windows"))).cast("long").alias("n_repeat_words"))
@@ -154,9 +156,9 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, e
 
 
 def judge(documents: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05,
-          stratum: str = "lang") -> DataFrame:
+          stratum: str = "lang", row: Column | None = None) -> DataFrame:
     """The columns of ``measure`` with base_failed and kept for every document."""
-    measured = save(measure(documents, stratum), "quality-measures")
+    measured = save(measure(documents, stratum, row), "quality-measures")
     cutoffs = save(choose_cutoffs(measured, labels, risk, error), "quality-cutoffs").withColumnRenamed("stratum", "of")
     if cutoffs.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)

@@ -7,7 +7,7 @@ import corpus_pipeline
 from staffsight.llm import pii
 from staffsight.llm.common import save
 
-from .test_operators import SMALL, brute_components, reference_encoding
+from .test_operators import DOCS, SMALL, brute_components, reference_encoding
 
 
 def test_pipeline_stages(spark):
@@ -43,3 +43,24 @@ def test_pipeline_keeps_clean_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(50).withColumn("text", F.concat(F.lit(text + " end"), "doc_id"))
     labels = corpus_pipeline.quality_rules(spark, docs, SMALL)
     assert labels.count() == 50
+
+
+def test_pipeline_tells_rows_with_one_id_apart(spark):
+    text = lambda name, n=80: " ".join(f"{name}{i}" for i in range(n))
+    data = [(None, text("a")), (None, text("b")), (None, text("b")), (None, "bad"), (None, None), (1, text("c")), (2, text("d")),
+            (2, text("c") + " end"), (2, text("e")), (2, "bad"), (3, text("f")), (3, text("f") + " end"), (4, text("a") + " end")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in data], DOCS)
+    clean = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    assert clean.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in clean.collect()), key=str)
+    assert got == sorted((d for d in data if d[1] not in ("bad", None)), key=str)
+    unique = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert unique.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in unique.collect()]
+    one = [d for d in got if d[0] == 3]
+    assert len(one) == 1 and one[0] in data
+    # "bad" under two ids is a group of exact copies; the text without words is in none
+    want = [(None, text("b")), (None, None), (1, text("c")), (2, text("d")), (2, text("e")), (2, "bad"), (4, text("a") + " end")]
+    assert sorted((d for d in got if d[0] != 3), key=str) == sorted(want, key=str)
+    again = corpus_pipeline.near_duplicates(spark, docs.repartition(5, "text"), SMALL)
+    assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == sorted(got, key=str)
