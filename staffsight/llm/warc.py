@@ -1,14 +1,17 @@
 """Operator 5, WARC records and a Merkle fixity audit of their replicas.
 
 Pages become WARC records, records are laid out in archives in page order, and every archive
-gets a hash tree: a leaf is the SHA-256 of a record, a node the SHA-256 of the hashes of up
-to FANOUT consecutive children and stands for their byte range. The archives' roots are the
-leaves of a second tree, whose root stands for the whole collection. An audit compares the
-roots of two replicas and descends level by level, reading only the children of nodes that
-differ, down to the damaged records and their byte ranges.
-
-A replica's leaves are taken at the byte ranges of the manifest, so a lost record does not
-shift those after it.
+gets a hash tree: a leaf is the SHA-256 of a record's digest and byte range, a node the SHA-256
+of the hashes of up to FANOUT consecutive children and of the byte range they span. The archives'
+roots are the leaves of a second tree, whose root stands for the whole collection. An audit takes
+two record tables with their own offsets (``manifest``, or ``located`` of ``read_warc``), gives the
+archives and ranges of both one common order, compares the roots and descends level by level,
+reading only the children of nodes that differ, down to the records: damaged (another digest at
+the same range), missing or extra (a range that only one replica has; a record moved to another
+place is missing there and extra here).
+
+The query audits the manifest against a copy with damaged and lost records that keeps the
+manifest's byte ranges, so a lost record does not shift those after it.
 
 Defined results: null url and html are empty; a null page_id is in an archive of its own (-1);
 equal records (same page and bytes) are one leaf with a number of copies; records of one
@@ -19,6 +22,7 @@ the number of levels reaches the driver.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import pyarrow as pa
@@ -65,9 +69,16 @@ def manifest(hashed: DataFrame) -> DataFrame:
 def _parents(level: DataFrame) -> DataFrame:
     """One level up: (grp, idx, hash, start, end) from the children's."""
     kids = F.sort_array(F.collect_list(F.struct("idx", F.coalesce("hash", F.lit("-")).alias("hash"))))
-    return level.groupBy("grp", F.floor(F.col("idx") / FANOUT).alias("idx")).agg(
-        F.sha2(F.array_join(F.transform(kids, lambda k: k["hash"]), ""), 256).alias("hash"),
+    up = level.groupBy("grp", F.floor(F.col("idx") / FANOUT).alias("idx")).agg(
+        F.array_join(F.transform(kids, lambda k: k["hash"]), "").alias("hash"),
         F.min("start").alias("start"), F.max("end").alias("end"))
+    return up.withColumn("hash", _ranged("hash"))
+
+
+def _ranged(digest: str) -> Column:
+    """Hash of a digest (or of the children's hashes) and of the byte range start to end; null for null."""
+    return F.sha2(F.concat(F.col(digest), F.lit(":"), *(
+        x for c in ("start", "end") for x in (F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(":")))), 256)
 
 
 def _heights(leaves: DataFrame) -> tuple[int, int]:
@@ -80,9 +91,9 @@ def _heights(leaves: DataFrame) -> tuple[int, int]:
 def tree(leaves: DataFrame, heights: tuple[int, int], label: str) -> list[DataFrame]:
     """The levels, leaves (grp, idx, hash, start, end) first; grp is the archive.
 
-    In the collection's tree grp is -1 and idx is the archive + 1.
+    ``leaves`` has the records' digests as hash. In the collection's tree grp is -1 and idx is the archive + 1.
     """
-    levels = [leaves.select("grp", "idx", "hash", "start", "end")]
+    levels = [leaves.select("grp", "idx", _ranged("hash").alias("hash"), "start", "end")]
     for _ in range(heights[0]):
         levels.append(save(_parents(levels[-1]), f"merkle-{label}"))
     roots = levels[-1].select(F.lit(-1).cast("long").alias("grp"), (F.col("grp") + 1).alias("idx"), "hash", "start", "end")
@@ -92,7 +103,7 @@ def tree(leaves: DataFrame, heights: tuple[int, int], label: str) -> list[DataFr
     return levels
 
 
-def audit(left: list[DataFrame], right: list[DataFrame], heights: tuple[int, int]) -> DataFrame:
+def differing(left: list[DataFrame], right: list[DataFrame], heights: tuple[int, int]) -> DataFrame:
     """(grp, idx) of the leaves whose hashes differ, found by descending from the roots."""
     differ = None
     for depth in reversed(range(len(left))):
@@ -125,20 +136,42 @@ def lost() -> Column:
     return F.coalesce(F.pmod("page_id", F.lit(211)) == 5, F.lit(False))
 
 
+def _common_leaves(first: DataFrame, second: DataFrame) -> DataFrame:
+    """grp, idx, start, end, first, second (digests, null where a replica has no such range), in one order for both."""
+    side = lambda df, name: df.groupBy("archive", "start", "end").agg(
+        F.array_join(F.sort_array(F.collect_set("hash")), "").alias(name))
+    both = side(first, "first").join(side(second, "second"), ["archive", "start", "end"], "full")
+    order = Window.partitionBy("archive").orderBy("start", "end")
+    return both.withColumn("idx", (F.row_number().over(order) - 1).cast("long")).withColumnRenamed("archive", "grp")
+
+
+def audit(first: DataFrame, second: DataFrame) -> DataFrame:
+    """archive, start, end, first, second (digests), status of every record of two replicas.
+
+    Both tables have archive, start, end, hash (a null hash is no record); status is intact, damaged,
+    missing (not in ``second``) or extra (not in ``first``).
+    """
+    given = [df.where("hash IS NOT NULL").select("archive", "start", "end", "hash") for df in (first, second)]
+    leaves = save(_common_leaves(*given), "merkle-leaves")
+    heights = _heights(leaves)
+    trees = [tree(leaves.withColumn("hash", F.col(name)), heights, name) for name in ("first", "second")]
+    differ = differing(*trees, heights).withColumn("hit", F.lit(True))
+    status = (F.when(F.col("hit").isNull(), "intact").when(F.col("second").isNull(), "missing")
+              .when(F.col("first").isNull(), "extra").otherwise("damaged"))
+    return leaves.join(differ, ["grp", "idx"], "left").select(
+        F.col("grp").alias("archive"), "start", "end", "first", "second", status.alias("status"))
+
+
 def fixity_report(pages: DataFrame) -> DataFrame:
     """The query: page_id, archive, position, copies, byte_start, byte_end, digest, status of every record."""
     copy = F.when(~lost(), F.sha2(record(F.col("page_id").cast("long"), F.col("url").cast("string"), damaged_html()), 256))
     hashed = pages.select(*(e.alias(c) for c, e in _leaf_columns().items()), copy.alias("copy_hash"))
-    leaves = save(manifest(hashed).withColumnRenamed("archive", "grp"), "merkle-leaves")
-    heights = _heights(leaves)
-    mine = tree(leaves, heights, "first")
-    theirs = tree(leaves.withColumn("hash", F.col("copy_hash")), heights, "second")
-    differ = audit(mine, theirs, heights).withColumn("hit", F.lit(True))
-    found = leaves.join(differ, ["grp", "idx"], "left")
-    status = F.when(F.col("hit").isNull(), "intact").when(F.col("copy_hash").isNull(), "missing").otherwise("damaged")
-    return found.select("page_id", F.col("grp").alias("archive"), F.col("idx").alias("position"), "copies",
-                        F.col("start").cast("long").alias("byte_start"), F.col("end").cast("long").alias("byte_end"),
-                        F.col("hash").alias("digest"), status.alias("status"))
+    mine = save(manifest(hashed), "merkle-manifest")
+    theirs = mine.select("archive", "start", "end", F.col("copy_hash").alias("hash"))
+    found = audit(mine, theirs).select("archive", "start", "end", "status")
+    return mine.join(found, ["archive", "start", "end"], "left").select(
+        "page_id", "archive", F.col("idx").alias("position"), "copies", F.col("start").cast("long").alias("byte_start"),
+        F.col("end").cast("long").alias("byte_end"), F.col("hash").alias("digest"), "status")
 
 
 def _leaf_columns() -> dict[str, Column]:
@@ -163,22 +196,29 @@ def _parse(batches):
                 head_end = data.index(b"\r\n\r\n", at) + 4
                 head = dict(line.split(b": ", 1) for line in data[at:head_end - 4].split(b"\r\n")[1:])
                 end = head_end + int(head[b"Content-Length"])
-                out.append((path, at, end + 4 - at, head[b"WARC-Record-ID"].decode(), head[b"WARC-Target-URI"].decode(), data[head_end:end]))
+                out.append((path, at, end + 4 - at, head[b"WARC-Record-ID"].decode(), head[b"WARC-Target-URI"].decode(), data[head_end:end],
+                            hashlib.sha256(data[at:end + 4]).hexdigest()))
                 at = end + 4
             for k in range(0, len(out), 1000):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out[k:k + 1000]), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()))],
-                    names=["path", "offset", "size", "record_id", "uri", "payload"])
+                    [pa.array(c, t) for c, t in zip(zip(*out[k:k + 1000]), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()))],
+                    names=["path", "offset", "size", "record_id", "uri", "payload", "digest"])
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """path, offset, size, record_id, uri, payload of every record below ``path``.
+    """path, offset, size, record_id, uri, payload, digest (SHA-256 of the whole record) of every record below ``path``.
 
     A file is read by one task, as a WARC file is meant to be (about 1 GB at most).
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
     return files.select("path", "content").mapInArrow(
-        _parse, "path string, offset long, size long, record_id string, uri string, payload binary")
+        _parse, "path string, offset long, size long, record_id string, uri string, payload binary, digest string")
+
+
+def located(read: DataFrame) -> DataFrame:
+    """archive, start, end, hash of the records that ``read_warc`` returns from files of ``write_warc``."""
+    return read.select(F.regexp_extract("path", r"/archive=(-?\d+)/", 1).cast("long").alias("archive"), F.col("offset").alias("start"),
+                       (F.col("offset") + F.col("size")).alias("end"), F.col("digest").alias("hash"))
 
 
 def _record_sql(html: str) -> str:

@@ -11,6 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from staffsight.llm import ann, bpe, chat, components, licenses, mixing, neardup, pii, quality, shingles, urls, warc
+from staffsight.llm.common import save
 from staffsight.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -187,6 +188,32 @@ def test_warc_round_trip_and_audit(spark, tmp_path):
     assert warc.fixity_report(pages.limit(0)).count() == 0
 
 
+def test_warc_audit_of_two_replicas(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"text {i} " * (i % 5)) for i in range(2300)], "page_id long, url string, html string")
+    found = {}
+    for name, html in (("a", F.col("html")), ("b", F.when(F.col("page_id") == 1500, F.lit("text? 0 text! 0 ")).otherwise(F.col("html")))):
+        warc.write_warc(warc.records(pages, html), str(tmp_path / name))
+        found[name] = save(warc.located(warc.read_warc(spark, str(tmp_path / name))), name)
+    first, second = found["a"], found["b"]
+    assert {r.status for r in warc.audit(first, first).collect()} == {"intact"}
+    # the files agree with the manifest, and page 1500's longer record shifts those after it
+    hashed = pages.select(*(e.alias(c) for c, e in warc._leaf_columns().items()))
+    assert {r.status for r in warc.audit(warc.manifest(hashed), first).collect()} == {"intact"}
+    at = lambda df: {(r.archive, r.start, r.end): r.hash for r in df.collect()}
+    moved = second.where("archive < 2").unionByName(second.where("archive = 2").withColumn("start", F.col("start") + 8).withColumn("end", F.col("end") + 8))
+    moved = moved.where("NOT (archive = 0 AND start = 0)").unionByName(first.where("archive = 0 AND start = 0").withColumn("archive", F.lit(7).cast("long")))
+    a, b = at(first), at(moved)
+    want = {k: "missing" if k not in b else "extra" if k not in a else "intact" if a[k] == b[k] else "damaged" for k in {*a, *b}}
+    got = {(r.archive, r.start, r.end): r.status for r in warc.audit(first, moved).collect()}
+    assert got == want and {*want.values()} >= {"missing", "extra", "intact"}
+    # equal records at other ranges have other roots
+    shifted = first.withColumn("start", F.col("start") + 8).withColumn("end", F.col("end") + 8)
+    roots = [warc.tree(warc.manifest(hashed).select(F.col("archive").alias("grp"), "idx", "hash", (F.col("start") + d).alias("start"), (F.col("end") + d).alias("end")),
+                       (3, 1), "t")[-1].first().hash for d in (0, 8)]
+    assert roots[0] != roots[1] and {r.status for r in warc.audit(first, shifted).collect()} >= {"missing", "extra"}
+    assert warc.audit(first.limit(0), first.limit(0)).count() == 0
+
+
 # 6, BPE
 
 def reference_encoding():
