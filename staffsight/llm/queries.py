@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, urls, warc
+from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, simhash, spelling, urls, warc, whitening
 from .common import table
 
 
@@ -53,6 +53,18 @@ def op10_source_mix(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash_neardup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 CHAT_ORACLE = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -71,8 +83,10 @@ FROM r GROUP BY conv_id
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_chat_format, op3_minhash_neardup, op4_ann_search, op5_warc_fixity,
-    op6_bpe_roundtrip, op7_pii_spans, op8_quality_rules, op9_url_filter, op10_source_mix)}
+    op6_bpe_roundtrip, op7_pii_spans, op8_quality_rules, op9_url_filter, op10_source_mix,
+    op11_spelling_variants, op12_simhash_neardup, op13_embedding_whitening)}
 ORACLES = {
     "op1_license_scan": licenses.ORACLE, "op2_chat_format": CHAT_ORACLE, "op3_minhash_neardup": neardup.oracle(),
     "op5_warc_fixity": warc.ORACLE, "op8_quality_rules": quality.oracle(), "op9_url_filter": urls.ORACLE, "op10_source_mix": mixing.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
 }
