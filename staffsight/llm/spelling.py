@@ -41,6 +41,8 @@ ship(__name__)
 PARTS_REPLACE, PARTS_INDEL = 7, 4
 #: Words of a bucket that are compared in one task, words counted before a task passes them on, rows gathered before they are compared.
 BLOCK, KEPT_WORDS, GATHER = 16_384, 400_000, 1 << 17
+#: Buckets up to this size are compared together; pairs in an array of a larger one.
+FEW, PAIRS = 32, 1 << 18
 #: Words up to this length are compared in columns of eight letters, longer ones by themselves.
 PACKED = 64
 MIN_LETTERS, MIN_COUNT, RATIO, DELETED = 5, 3, 2, 97
@@ -90,15 +92,25 @@ def word_counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return counts.where((F.char_length("word") >= MIN_LETTERS) & (F.col("n") >= MIN_COUNT))
 
 
-def _latin(words: pa.Array) -> list[bytes]:
-    return [w.encode("latin-1") for w in words.to_pylist()]
+def letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words' letters as Latin-1 bytes laid end to end, and each word's offset in them."""
+    words = words.cast(pa.large_string())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    lead = data >= 0xC0
+    if lead.any():  # letters from U+0080 on have two bytes of UTF-8
+        before = np.concatenate((data[:1], data[:-1]))
+        data = np.where(data & 0xC0 == 0x80, (before & 3) << 6 | data & 0x3F, data)[~lead]
+        offsets = offsets - np.concatenate(([0], np.cumsum(lead)))[offsets]
+    return data, offsets
 
 
-def signatures_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def signatures_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures and the number of the word that each belongs to; the lowest bit is 1 for neighbouring lengths."""
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    owner = np.repeat(np.arange(len(words)), length)
-    letter = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    length = np.diff(offsets)
+    words = len(length)
+    owner, letter = np.repeat(np.arange(words), length), data.astype(np.int64)
     order = np.lexsort((letter, owner))
     owner, letter = owner[order], letter[order]
     first = np.ones(len(letter), bool)
@@ -110,7 +122,7 @@ def signatures_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out = []
     # kind, parts, parts left out, and the longer of the two lengths that may meet
     for kind, parts, drop, longer in ((0, PARTS_REPLACE, 2, size), (1, PARTS_INDEL, 1, size), (1, PARTS_INDEL, 1, size + np.uint64(1))):
-        sums = np.zeros((len(words), parts), np.uint64)
+        sums = np.zeros((words, parts), np.uint64)
         part = ((dimension >> np.uint64(40 if kind else 20)) % np.uint64(parts)).astype(np.int64)
         np.add.at(sums, (owner, part), dimension)
         total = sums.sum(1, dtype=np.uint64)
@@ -118,16 +130,16 @@ def signatures_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             seed = mix64(longer * np.uint64(128) + np.uint64(2 * choice + kind))
             rest = total - sums[:, list(left_out)].sum(1, dtype=np.uint64)
             out.append(mix64(rest ^ seed) & ~np.uint64(1) | np.uint64(kind))
-    return np.concatenate(out).view(np.int64), np.tile(np.arange(len(words)), len(out))
+    return np.concatenate(out).view(np.int64), np.tile(np.arange(words), len(out))
 
 
 def _signed(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
-            words = _latin(batch.column(0).slice(at, 4096))
-            sig, which = signatures_of(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig), pa.array(words, pa.binary()).take(pa.array(which)), batch.column(1).slice(at, 4096).take(pa.array(which))], names=["sig", "word", "n"])
+            part = batch.slice(at, 4096)
+            sig, which = signatures_of(*letters(part.column(0)))
+            which = pa.array(which)
+            yield pa.RecordBatch.from_arrays([pa.array(sig), part.column(0).take(which), part.column(1).take(which)], names=["sig", "word", "n"])
 
 
 def near(a: bytes, b: bytes) -> bool:
@@ -138,109 +150,123 @@ def near(a: bytes, b: bytes) -> bool:
     return a[at + (len(a) >= len(b)):] == b[at + (len(b) >= len(a)):]
 
 
-def _packed(words: list[bytes], length: np.ndarray) -> np.ndarray:
-    """The words' letters, eight in a column; longer words than PACKED are left zero."""
+def _packed(data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' letters from the front and from the back, eight in a column; longer words than PACKED are left zero."""
     short = np.where(length <= PACKED, length, 0)
+    data = data[np.repeat(length <= PACKED, length)]
     wide = 8 * max(1, -(-int(short.max(initial=1)) // 8))
-    out = np.zeros((len(words), wide), np.uint8)
-    out[np.arange(wide) < short[:, None]] = np.frombuffer(b"".join(w for w in words if len(w) <= PACKED), np.uint8)
-    return out.view("<u8")
+    forth, back = np.zeros((2, len(length), wide), np.uint8)
+    taken = np.arange(wide) < short[:, None]
+    forth[taken] = data
+    # read backwards, the words are reversed, and so is their order
+    back[::-1][taken[::-1]] = data[::-1]
+    return forth.view("<u8").T.copy(), back.view("<u8").T.copy()
 
 
-def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _alike(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Number of equal letters before the first that differs."""
-    out, going = np.zeros(len(x), np.int64), np.ones(len(x), bool)
-    for c in range(x.shape[1]):
-        differ = x[:, c] ^ y[:, c]
+    out, going = np.zeros(len(i), np.int64), np.ones(len(i), bool)
+    for column in x:
+        differ = column[i] ^ column[j]
         lowest = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 8
         out += np.where(going, np.where(differ == 0, 8, lowest), 0)
         going &= differ == 0
     return out
 
 
-def _one_replaced(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs of rows of x differ in exactly one letter."""
-    alive, found = np.arange(len(i)), np.zeros(len(i), np.int64)
-    for c in range(x.shape[1]):
-        d = x[i[alive], c] ^ x[j[alive], c]
+def _one_replaced(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that differ in exactly one letter."""
+    found = np.zeros(len(i), np.uint8)
+    for column in x:
+        d = column[i] ^ column[j]
         for s in (4, 2, 1):
             d |= d >> np.uint64(s)
-        found[alive] += np.bitwise_count(d & np.uint64(0x0101010101010101))
-        alive = alive[found[alive] <= 1]
-    return found == 1
+        found += np.bitwise_count(d & np.uint64(0x0101010101010101))
+        few = found <= 1
+        i, j, found = i[few], j[few], found[few]
+    return i[found == 1], j[found == 1]
+
+
+def _meeting(bucket: np.ndarray):
+    """Pairs of rows of one bucket (rows are sorted by bucket), in arrays of bounded size."""
+    size = np.bincount(bucket)
+    start = np.cumsum(size) - size
+    for k in np.flatnonzero(size > FEW):  # a bucket of many rows by itself, some rows against all after them
+        for at in range(start[k], start[k] + size[k], max(1, PAIRS // size[k])):
+            some = np.arange(at, min(at + max(1, PAIRS // size[k]), start[k] + size[k]))
+            i, j = np.repeat(some, start[k] + size[k] - at), np.tile(np.arange(at, start[k] + size[k]), len(some))
+            yield i[i < j], j[i < j]
+    at = np.flatnonzero(size[bucket] <= FEW)
+    for step in range(1, FEW):  # small buckets together, rows that are ``step`` apart
+        at = at[at + step < len(bucket)]
+        at = at[bucket[at] == bucket[at + step]]
+        if not len(at):
+            return
+        yield at, at + step
 
 
-def bucket_pairs(sig, group, side, words) -> tuple[np.ndarray, np.ndarray]:
+def bucket_pairs(sig: np.ndarray, group: np.ndarray, side: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Near pairs (i, j) of rows that are sorted by group; sides 0 and 1 meet each other only."""
-    m = len(sig)
-    length = np.fromiter(map(len, words), np.int64, m)
-    forth, back = _packed(words, length), _packed([w[::-1] for w in words], length)
-    change = np.zeros(m, np.int64)
-    change[1:] = np.cumsum(group[1:] != group[:-1])
+    length = np.diff(offsets)
+    forth, back = _packed(data, length)
+    bucket = np.zeros(len(sig), np.int64)
+    bucket[1:] = np.cumsum(group[1:] != group[:-1])
+    indel, split = sig & 1 == 1, (side != 2).any()
     out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    at, step = np.arange(m), 0
-    while True:  # rows that are ``step`` apart in one bucket
-        step += 1
-        at = at[at + step < m]
-        at = at[change[at] == change[at + step]]
-        if not len(at):
-            break
-        i, j = at, at + step
-        meet = (length[j] - length[i] == 0) == (sig[i] & 1 == 0)
-        meet &= (np.abs(length[j] - length[i]) <= 1) & ((side[i] == 2) | (side[i] != side[j]))
-        i, j = i[meet], j[meet]
-        long = (length[i] > PACKED) | (length[j] > PACKED)
-        if long.any():
-            ok = np.fromiter((near(words[a], words[b]) for a, b in zip(i[long], j[long])), bool, int(long.sum()))
-            out.append((i[long][ok], j[long][ok]))
-            i, j = i[~long], j[~long]
-        same = length[i] == length[j]
-        a, b = i[same], j[same]
-        ok = _one_replaced(forth, a, b)
-        out.append((a[ok], b[ok]))
-        a, b = i[~same], j[~same]
-        least = np.minimum(length[a], length[b])
-        head = np.minimum(_alike(forth[a], forth[b]), least)
-        some = head + np.minimum(_alike(back[a], back[b]), least) >= least
-        out.append((a[some], b[some]))
+    for i, j in _meeting(bucket):
+        if split:
+            meet = (side[i] == 2) | (side[i] != side[j])
+            i, j = i[meet], j[meet]
+        apart = np.abs(length[i] - length[j])
+        for kind in (0, 1):
+            meet = (apart == kind) & (indel[i] == kind)
+            a, b = i[meet], j[meet]
+            long = np.maximum(length[a], length[b]) > PACKED
+            if long.any():
+                word = [bytes(data[offsets[k]:offsets[k + 1]]) for x in (a[long], b[long]) for k in x]
+                half = len(word) // 2
+                ok = np.array([near(x, y) for x, y in zip(word[:half], word[half:])], bool)
+                out.append((a[long][ok], b[long][ok]))
+                a, b = a[~long], b[~long]
+            if kind:
+                least = np.minimum(length[a], length[b])
+                ok = np.minimum(_alike(forth, a, b), least) + np.minimum(_alike(back, a, b), least) >= least
+                out.append((a[ok], b[ok]))
+            else:
+                out.append(_one_replaced(forth, a, b))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _near_in_buckets(batches):
-    """word, n, other, other_n (both ways) from rows (sig, i, j, side, word, n) sorted by sig, i, j."""
+    """word, near, near_n (both ways) from rows (sig, i, j, side, word, n) sorted by sig, i, j."""
     def pairs(table: pa.Table):
-        sig, i, j = (table.column(c).to_numpy() for c in range(3))
+        sig, i, j, side = (table.column(c).to_numpy() for c in range(4))
         group = mix64(mix64(sig.view(np.uint64)) + (i.astype(np.uint64) << np.uint64(32) | j.astype(np.uint64)))
-        words = table.column(4).to_pylist()
-        a, b = bucket_pairs(sig, group, table.column(3).to_numpy(), words)
-        n = table.column(5).to_numpy()
-        text = [w.decode("latin-1") for w in words]
+        word, n = (table.column(c).combine_chunks() for c in (4, 5))
+        a, b = bucket_pairs(sig, group, side, *letters(word))
         for at in range(0, len(a), 25_000):
-            x, y = np.concatenate((a[at:at + 25_000], b[at:at + 25_000])), np.concatenate((b[at:at + 25_000], a[at:at + 25_000]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([text[k] for k in x]), pa.array([text[k] for k in y]), pa.array(n[y])], names=["word", "near", "near_n"])
-
-    def run():
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= GATHER:
-                table = pa.Table.from_batches(held).combine_chunks()
-                last = np.array([table.column(c).to_numpy() for c in range(3)])
-                # the last bucket may go on in the next batch
-                cut = int(np.flatnonzero((last != last[:, -1:]).any(0)).max(initial=-1)) + 1
-                if cut:
-                    yield from pairs(table.slice(0, cut))
-                held, rows = table.slice(cut).to_batches(), len(table) - cut
-        if rows:
-            yield from pairs(pa.Table.from_batches(held).combine_chunks())
-    return run()
+            x, y = (pa.array(np.concatenate((p[at:at + 25_000], q[at:at + 25_000]))) for p, q in ((a, b), (b, a)))
+            yield pa.RecordBatch.from_arrays([word.take(x), word.take(y), n.take(y)], names=["word", "near", "near_n"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHER:
+            table = pa.Table.from_batches(held).combine_chunks()
+            last = np.array([table.column(c).to_numpy() for c in range(3)])
+            # the last bucket may go on in the next batch
+            cut = int(np.flatnonzero((last != last[:, -1:]).any(0)).max(initial=-1)) + 1
+            if cut:
+                yield from pairs(table.slice(0, cut))
+            held, rows = table.slice(cut).to_batches(), len(table) - cut
+    if rows:
+        yield from pairs(pa.Table.from_batches(held).combine_chunks())
 
 
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """word, near, near_n: all pairs of near words of ``vocabulary`` (word, n), both ways."""
-    rows = vocabulary.select("word", "n").mapInArrow(_signed, "sig long, word binary, n long")
+    rows = vocabulary.select("word", "n").mapInArrow(_signed, "sig long, word string, n long")
     large = save(rows.groupBy("sig").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK), "spelling-large")
     blocks = F.ceil(F.coalesce("size", F.lit(1)) / BLOCK).cast("int")
     dealt = rows.join(large.withColumnRenamed("sig", "large_sig"), F.col("sig") == F.col("large_sig"), "left").withColumn("blocks", blocks)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -84,6 +85,8 @@ def test_buckets_in_blocks(spark, monkeypatch):
     whole = rows(spelling.near_pairs(vocabulary))
     monkeypatch.setattr(spelling, "BLOCK", 4)
     monkeypatch.setattr(spelling, "GATHER", 7)
+    monkeypatch.setattr(spelling, "FEW", 3)
+    monkeypatch.setattr(spelling, "PAIRS", 10)
     assert rows(spelling.near_pairs(vocabulary)) == whole
     want = {(a, b) for a in words for b in words if a != b and spelling.near(a.encode(), b.encode())}
     assert {(a, b) for a, b, _ in whole} == want and len(want) == 36 * 10
@@ -97,7 +100,7 @@ def test_partenum_signatures_meet():
         other = w[:at] + rng.choice(list("abcdez")) + w[at + rng.integers(0, 2):]
         if not spelling.near(w.encode(), other.encode()):
             continue
-        sig, owner = spelling.signatures_of([w.encode(), other.encode()])
+        sig, owner = spelling.signatures_of(*spelling.letters(pa.array([w, other])))
         assert set(sig[owner == 0]) & set(sig[owner == 1]), (w, other)
 
 
