@@ -10,12 +10,16 @@ the transition and, with the byte's position, a new start. States and transition
 when first needed and kept.
 
 A token is emitted as soon as the chains of all starts agree on it: at once when only one
-start is left, and for long pieces in regular intervals, so that what is pending is bounded by
-the interval and the longest token.
+start is left (transitions into such states are marked), and else in regular intervals, so that
+what is pending is bounded by the interval and the longest token.
+
+Whether a token may follow another is read off the two tokens' own merges: at their border lie
+the parts that the left one ends and the right one begins with, growing by merges of rising
+rank, and the tokens stay apart if no merge across the border has its turn in between.
 
 Pieces are the matches of the splitting pattern; a piece that is itself a token is that
 token. Piece results are kept in a table of bounded size, so that a common word costs one
-look-up.
+look-up: when the newer half is full the older one goes, and what is asked for again moves over.
 
 Decoding. Token bytes are fed in blocks to an incremental UTF-8 state machine, which carries an
 incomplete character over to the next block; bytes that are not UTF-8 become U+FFFD in the
@@ -32,8 +36,8 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+import struct
 import sys
-from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -47,10 +51,12 @@ from .common import ship
 
 ship(__name__)
 
-#: Pieces whose ids are kept, transitions that are kept, and the longest piece kept.
-KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 250_000, 150_000, 64
+#: Pieces in each half of the table, transitions that are kept, and the longest piece kept.
+KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 125_000, 250_000, 64
 #: A long piece emits what is settled every so many bytes.
 INTERVAL = 4096
+#: Rank of a pair that no merge joins.
+NEVER = 1 << 60
 #: Rank files beyond this many bytes are refused, as they are broadcast.
 MAX_RANK_BYTES = 64 << 20
 
@@ -80,56 +86,85 @@ class Transducer:
                     nodes += 1
                 node = self.child[key]
             self.ends[node] = rank
+        self.borders: dict[tuple[int, bool], list[int]] = {}
+        #: (token before) + 1 << 24 | token -> may they stand side by side
         self.fits: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         # a state: for each start, oldest first, trie node << 24 | token before it + 1 (0: the piece's start)
+        # the number of a state is shifted by a byte
         self.numbers: dict[tuple, int] = {(0,): 0}
         self.states: list[tuple] = [(0,)]
-        self.moves: dict[int, tuple[int, int]] = {}
+        # state << 8 | byte -> next state << 8, token that ends there, is one start left
+        self.moves: dict[int, tuple[int, int, bool]] = {}
 
-    def merge(self, data: bytes) -> list[int]:
-        """The tokens that merging adjacent pairs by rank gives; used to compile, on short strings."""
+    def merge(self, data: bytes, parts_left: int = 1) -> list[bytes]:
+        """Merges adjacent pairs by rank until none is left or ``parts_left`` are; used to compile, on short strings."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
+        while len(parts) > parts_left:
+            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+            if rank == NEVER:
                 break
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
 
-    def beside(self, before: int, token: int) -> bool:
-        """May the token follow token ``before - 1`` (or start a piece, for 0)?"""
-        key = before << 32 | token
-        found = self.fits.get(key)
+    def border(self, token: int, last: bool) -> list[int]:
+        """The parts that lie at the token's end (or start) while it is merged, from its byte to itself."""
+        found = self.borders.get((token, last))
         if found is None:
-            if len(self.fits) > KEPT_MOVES:
-                self.fits.clear()
-            own = [before - 1, token] if before else [token]
-            found = self.fits[key] = self.merge(b"".join(self.tokens[t] for t in own)) == own
+            parts = self.merge(self.tokens[token], 2) if self.length[token] > 1 else []
+            inner = self.border(self.ranks[parts[-1 if last else 0]], last) if len(parts) == 2 else []
+            found = self.borders[token, last] = [*inner, token]
         return found
 
-    def _step(self, number: int, byte: int) -> tuple[int, int]:
-        """Next state and the token that ends at the byte, worked out and kept."""
-        alive, ended = [], -1
-        child, ends = self.child, self.ends
-        for start in self.states[number]:
-            before = start & 0xFFFFFF
+    def beside(self, before: int, token: int) -> bool:
+        """May the token follow token ``before - 1`` (or start a piece, for 0)?"""
+        left, right = self.border(before - 1, True) if before else (), self.border(token, False)
+        if len(right) == 1 and self.length[token] > 1:
+            return False  # merging its bytes gives something else
+        i = j = 0
+        while before:
+            across = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], NEVER)
+            next_left = left[i + 1] if i + 1 < len(left) else NEVER
+            next_right = right[j + 1] if j + 1 < len(right) else NEVER
+            # of equal ranks the leftmost pair is merged first
+            if across < next_left and across <= next_right and across < NEVER:
+                return False
+            if next_left == next_right:
+                if next_left == NEVER:
+                    break
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+        return True
+
+    def _step(self, key: int) -> tuple[int, int, bool]:
+        """The move for a state and byte, worked out and kept."""
+        byte, alive, ended = key & 255, [], -1
+        child, ends, fits = self.child, self.ends, self.fits
+        for start in self.states[key >> 8]:
             node = child.get(start >> 24 << 8 | byte)
             if node is not None:
+                before = start & 0xFFFFFF
                 alive.append(node << 24 | before)
-                if ended < 0:
-                    token = ends.get(node, -1)
-                    if token >= 0 and self.beside(before, token):
+                if ended < 0 and node in ends:
+                    token = ends[node]
+                    fit = fits.get(before << 24 | token)
+                    if fit is None:
+                        if len(fits) > KEPT_MOVES:
+                            fits.clear()
+                        fit = fits[before << 24 | token] = self.beside(before, token)
+                    if fit:
                         ended = token
         alive.append(ended + 1)
         state = tuple(alive)
         to = self.numbers.get(state)
         if to is None:
-            to = self.numbers[state] = len(self.states)
+            to = self.numbers[state] = len(self.states) << 8
             self.states.append(state)
-        move = self.moves[number << 8 | byte] = (to, ended)
+        move = self.moves[key] = to, ended, len(alive) == 1
         return move
 
     def _ways(self, ended: list[int], at: int) -> list[int]:
@@ -158,7 +193,7 @@ class Transducer:
                 self.depths[to] = self.depths[key >> 8] + 1
         return self.depths[node]
 
-    def run(self, piece: bytes) -> tuple[int, ...]:
+    def run(self, piece: bytes) -> list[int]:
         """Token ids of one piece, emitted as the bytes go by."""
         if len(self.moves) > KEPT_MOVES:
             self._reset()
@@ -166,33 +201,47 @@ class Transducer:
         ended: list[int] = []
         at, moves = 0, self.moves
         for byte in piece:
-            move = moves.get(at << 8 | byte)
-            if move is None:
-                move = self._step(at, byte)
-            at, token = move
+            try:
+                at, token, one = moves[at | byte]
+            except KeyError:
+                at, token, one = self._step(at | byte)
             ended.append(token)
-            if len(ended) >= INTERVAL and (settled := self._settled(ended, at)):
-                out += [ended[p - 1] for p in reversed(self._ways(ended, settled))]
+            if one:
+                out += self._chain(ended, len(ended))
+                ended.clear()
+            elif len(ended) >= INTERVAL and (settled := self._settled(ended, at >> 8)):
+                out += self._chain(ended, settled)
                 del ended[:settled]
-        out += [ended[p - 1] for p in reversed(self._ways(ended, len(ended)))]
-        return tuple(out)
+        return out + self._chain(ended, len(ended))
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def _chain(self, ended: list[int], at: int) -> list[int]:
+        """The tokens that lead from the first pending byte to ``at``."""
+        out = []
+        while at > 0:
+            out.append(ended[at - 1])
+            at -= self.length[out[-1]]
+        return out[::-1]
+
+    def encode_piece(self, piece: bytes) -> list[int]:
         token = self.ranks.get(piece)
-        return (token,) if token is not None else self.run(piece)
+        return [token] if token is not None else self.run(piece)
 
 
 class Pieces(dict):
-    """Ids by piece, worked out when first asked for; bounded."""
+    """Ids (little-endian unsigned 32-bit integers) by piece, worked out when first asked for; bounded."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.transducer = transducer
+        self.transducer, self.older = transducer, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.transducer.encode_piece(piece.encode())
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            found = self.transducer.encode_piece(piece.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= KEPT_BYTES:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -210,7 +259,7 @@ class Codec:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if self.pieces is None:  # a worker that only decodes needs no transducer
             self.pieces = Pieces(Transducer(self.ranks))
-        return np.array(list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))), "<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.pattern.findall(text))), "<u4")
 
     def decode(self, ids: np.ndarray, block: int = 4096) -> tuple[bytes, str]:
         """The bytes of the ids and their text, block by block."""
@@ -279,8 +328,30 @@ def decode(encoded: DataFrame, codec) -> DataFrame:
     return encoded.mapInArrow(run, fields)
 
 
+def roundtrip(documents: DataFrame, codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256, decoded_sha256, intact: every text encoded, and its ids decoded, in one pass.
+
+    ``intact`` tells whether the incremental UTF-8 machine gives the text back.
+    """
+    rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches):
+        own = _codec(*codec.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = []
+                for text in part.column(1).to_pylist():
+                    ids = own.encode(text or "")
+                    data, back = own.decode(ids)
+                    out.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(data).hexdigest(), back == (text or "")))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "intact"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, intact boolean")
+
+
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The columns of the query: encode, decode the ids, digest both."""
-    codec = load_codec(documents.sparkSession, path, pattern)
-    both = decode(encode(documents, codec), codec)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The columns of the query."""
+    return roundtrip(documents, load_codec(documents.sparkSession, path, pattern))
