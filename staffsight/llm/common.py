@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -42,11 +44,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def _hashable(field: T.StructField) -> Column:
+    """A form of the column that hashes can take: equal maps give equal entries in order."""
+    kind, value = field.dataType, named(field.name)
+    if isinstance(kind, T.MapType) and not re.search("map<|variant", kind.valueType.simpleString()):
+        return F.array_sort(F.map_entries(value))
+    return F.to_json(F.struct(value)) if re.search("map<|variant", kind.simpleString()) else value
+
+
 def row_key(df: DataFrame) -> Column:
-    """128 hash bits of all (scalar) columns of ``df``: the same for equal rows, whatever their ids."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    """128 hash bits of all columns of ``df``: the same for equal rows, whatever their ids."""
     # hashes skip nulls, so which columns are null is hashed too
-    parts = [*(c.isNull() for c in columns), *columns]
+    parts = [*(named(c).isNull() for c in df.columns), *map(_hashable, df.schema.fields)]
     return F.concat_ws("-", F.xxhash64(F.lit(1), *parts).cast("string"), F.xxhash64(F.lit(2), *parts).cast("string"))
 
 

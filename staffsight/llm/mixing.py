@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, n_words, save
+from .common import n_words, named, save, SPACE
 
 WEIGHTS = (5, 2, 1)
 SHARE, MAX_EPOCHS = 1.5, 2
@@ -113,7 +113,7 @@ def mixed_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE,
 
     Columns as ``documents`` has them; ``n_chars`` follows the text where there is one.
     """
-    rows = _with_keys(documents, F.struct(*documents.columns).alias("doc"))
+    rows = _with_keys(documents, F.struct(*map(named, documents.columns)).alias("doc"))
     dealt = _take(rows, _plan(_with_keys(documents), weights, share, max_epochs)).where("taken > 0")
     part = F.col("taken") % F.col("size")
     copies = F.concat(F.array_repeat("size", F.floor(F.col("taken") / F.col("size")).cast("int")),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import named, ship
 
 ship(__name__)
 
@@ -280,7 +280,7 @@ def _redactor(batches):
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with the personal data in ``text`` replaced; ``n_chars`` follows the text."""
     rest = [c for c in documents.columns if c != "text"]
-    rows = documents.select(F.struct(*rest).alias("pii_rest"), F.col("text").cast("string").alias("pii_text"))
+    rows = documents.select(F.struct(*map(named, rest)).alias("pii_rest"), F.col("text").cast("string").alias("pii_text"))
     out = rows.mapInArrow(_redactor, rows.schema)
     own = {"text": F.col("pii_text")}
     if "n_chars" in rest:

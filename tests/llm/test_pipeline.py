@@ -64,3 +64,16 @@ def test_pipeline_tells_rows_with_one_id_apart(spark):
     assert sorted((d for d in got if d[0] != 3), key=str) == sorted(want, key=str)
     again = corpus_pipeline.near_duplicates(spark, docs.repartition(5, "text"), SMALL)
     assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == sorted(got, key=str)
+
+
+def test_pipeline_with_odd_columns(spark):
+    first = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    docs = (first.withColumn("a.b", F.lit(1)).withColumn("a`c", F.lit("x"))
+            .withColumn("m", F.create_map(F.lit("k"), F.lit(2), F.lit("a"), F.lit(3)))
+            .withColumn("deep", F.array(F.create_map(F.lit("k"), F.array(F.lit(1))))))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = save(stage(spark, docs, SMALL), name)
+        assert docs.columns == columns
+        assert docs.where("m['a'] = 3 and `a.b` = 1").count() == docs.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
