@@ -52,7 +52,7 @@ from .common import ship
 ship(__name__)
 
 #: Pieces in each half of the table, transitions that are kept, and the longest piece kept.
-KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 125_000, 250_000, 64
+KEPT_PIECES, KEPT_MOVES, KEPT_BYTES = 250_000, 450_000, 64
 #: A long piece emits what is settled every so many bytes.
 INTERVAL = 4096
 #: Rank of a pair that no merge joins.
