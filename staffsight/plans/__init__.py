@@ -12,4 +12,5 @@ from . import q_movement  # noqa: F401
 from . import q_text  # noqa: F401
 from . import q_model  # noqa: F401
 from . import q_io  # noqa: F401
+from . import q_lifecycle  # noqa: F401
 from . import feature_jobs  # noqa: F401

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, iso_year_week, period_bounds, week_start
+from ..operators import lifecycle as lc
 from ..operators import position_features as pf
 from ..operators import snapshots as snap
 from ..session import ensure_checkpoint_dir
@@ -44,36 +44,51 @@ def q_read(spark, sf_dir):
                          (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("l_quantity") > 45))
 
 
-@register("s3_append_run")
+@register("s3_append_run", """
+with c as (select day as date, cast(sum(n) as bigint) as events from v_run group by 1)
+select date, events, cast(1700000000 as bigint) as run_id, timestamp '2023-11-14 22:13:20' as date_of_processing from c
+union all select date, events + 1, 1700000100, timestamp '2023-11-14 22:15:00' from c where events % 2 = 0""", views=("v_run",))
 def q_append(spark, sf_dir):
-    """Rows-only: append two runs of a daily counter partitioned by date, read it back."""
+    """Two runs of a daily counter, the first of them tried twice: each is seen once."""
     t = Tables(spark, sf_dir)
     path = _scratch(spark, "append")
     counts = fx.v_run(t).groupBy(F.col("day").alias("date")).agg(F.sum("n").alias("events"))
-    io.append_run(counts, path, run_id=1_700_000_000)
-    io.append_run(counts.withColumn("events", F.col("events") + 1), path, run_id=1_700_000_100)
-    return spark.read.parquet(path)
-
-
-@register("s4_run_log")
+    lc.publish_run(counts.withColumn("events", F.col("events") * 100), path, run_id=1_700_000_000)
+    lc.publish_run(counts.where("events % 2 = 0").withColumn("events", F.col("events") + 1), path, run_id=1_700_000_100)
+    lc.publish_run(counts, path, run_id=1_700_000_000)
+    rows = lc.read_runs(spark, path)
+    return rows.select(F.col("date").cast("date").alias("date"), "events", "run_id",
+                       F.col("date_of_processing").cast("timestamp_ntz").alias("date_of_processing"))
+
+
+@register("s4_run_log", """
+select cast(run_id as bigint) as run_id, cast(min(day) as timestamp) as start_time, cast(max(day) as timestamp) as end_time, '1.0' as code_version,
+  'events=' || cast(cast(sum(n) as bigint) as varchar) as comment, sum(n) > 1 as success, event_type as task_type
+from v_run group by run_id, event_type""", views=("v_run",))
 def q_run_log(spark, sf_dir):
-    """Rows-only: log one run (with its row count) and read the log back."""
+    """A log row per run and task of the runs table; a failed first attempt of each is superseded."""
     t = Tables(spark, sf_dir)
     path = _scratch(spark, "runlog")
-    n = t.region.count()
-    io.log_run(spark, path, 1_700_000_000, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 5), "0.1.0",
-               f"regions={n}", True, "smoke")
-    return spark.read.parquet(path)
-
-
-@register("s5_snapshot_roundtrip")
+    rows = fx.v_run(t).groupBy("run_id", F.col("event_type").alias("task_type")).agg(
+        F.min("day").cast("timestamp").alias("start_time"), F.max("day").cast("timestamp").alias("end_time"),
+        F.lit("1.0").alias("code_version"), F.concat(F.lit("events="), F.sum("n").cast("string")).alias("comment"),
+        (F.sum("n") > 1).alias("success")).withColumn("run_id", F.col("run_id").cast("long"))
+    first = rows.withColumns({"end_time": F.col("start_time") - F.expr("interval 1 hour"), "success": F.lit(False), "comment": F.lit("failed")})
+    lc.log_rows(first, path)
+    lc.log_rows(rows, path)
+    log = lc.read_log(spark, path)
+    return log.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+
+
+@register("s5_snapshot_roundtrip", """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders""")
 def q_roundtrip(spark, sf_dir):
-    """Rows-only: dump a snapshot as CSV and read it back with a schema."""
+    """Dump the orders as CSV and read them back with a schema."""
     t = Tables(spark, sf_dir)
     path = _scratch(spark, "snapshot")
-    df = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    df = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     io.save_snapshot(df, path, fmt="csv")
-    return io.load_snapshot(spark, path, fmt="csv", schema="n_nationkey int, n_name string, n_regionkey int")
+    return io.load_snapshot(spark, path, fmt="csv", schema=df.schema)
 
 
 @register("s6_evolve_result", """
