@@ -48,6 +48,26 @@ def days_since(snaps: DataFrame, events: DataFrame, key: str, day_col: str, time
     return out.withColumn(f"time_from_{name}", days_since_if_after(F.col(day_col), F.col(f"{name}_date")))
 
 
+def first_and_last_days(snaps: DataFrame, events: DataFrame, key: str, day_col: str, time_col: str, status_col: str,
+                        names: dict[str, str]) -> DataFrame:
+    """W3 in all forms: for every status (``names``: status to name) the first and the last event's
+    date, ``first_<name>_date`` and ``last_<name>_date``, and the days since them at the snapshot.
+
+    One conditional aggregate over the events and one join for all forms. As W1 and W2 order null
+    times, a null time is no first event but is the last one.
+    """
+    aggs = []
+    for status, name in names.items():
+        hit = F.col(status_col) == status
+        aggs.append(F.min(F.when(hit, F.col(time_col))).alias(f"first_{name}_date"))
+        last = F.max(F.when(hit, F.struct(F.col(time_col).isNull(), time_col)))
+        aggs.append(last[time_col].alias(f"last_{name}_date"))
+    dates = events.where(F.col(status_col).isin(*names)).groupBy(key).agg(*aggs)
+    out = snaps.join(dates, key, "left")
+    return out.withColumns({f"time_from_{which}_{name}": days_since_if_after(F.col(day_col), F.col(f"{which}_{name}_date"))
+                            for name in names.values() for which in ("first", "last")})
+
+
 def event_ordinal(events: DataFrame, key: str, time_col: str, tie: str, out_col: str = "ordinal") -> DataFrame:
     """1-based position of each event inside its key, ordered by (time, tie).
 

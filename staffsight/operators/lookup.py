@@ -76,3 +76,24 @@ def role_lookup(df: DataFrame, dim: DataFrame, roles: dict[str, str], dim_key: s
         r = d.select(F.col(dim_key).alias(person_col), *extra_keys, F.col(dim_value).alias(out_col))
         out = out.join(r, [person_col, *extra_keys], "left")
     return out
+
+
+def role_units(df: DataFrame, keys: Sequence[str], dim: DataFrame, roles: dict[str, str], dim_key: str, dim_value: str,
+               day_col: str, fill: str | None = None) -> DataFrame:
+    """J9 with many roles: each person column's unit on the row's day, in one join for all roles.
+
+    ``keys`` identify a row of ``df``; ``dim`` has (dim_key, day_col, dim_value), of which the
+    smallest value counts. A row's persons become (role, person) entries that meet the dimension
+    once and are folded back into a map by one aggregate. Roles without a person stay out of the
+    join (a null person is no hot key); persons without a unit get ``fill``.
+    """
+    units = dim.groupBy(F.col(dim_key).alias("__person"), F.col(day_col).alias("__day")).agg(F.min(dim_value).alias("__unit"))
+    kind = df.schema[next(iter(roles))].dataType
+    entries = F.array(*(F.struct(F.lit(out).alias("role"), F.col(c).cast(kind).alias("person")) for c, out in roles.items()))
+    rows = df.select(*keys, F.struct("*").alias("__row"),
+                     F.explode_outer(F.filter(entries, lambda e: e["person"].isNotNull())).alias("__e"))
+    joined = rows.join(units, (F.col("__e.person") == F.col("__person")) & (F.col(f"__row.{day_col}") == F.col("__day")), "left")
+    found = F.map_from_entries(F.collect_list(F.when(F.col("__unit").isNotNull(), F.struct("__e.role", "__unit"))))
+    wide = joined.groupBy(*keys).agg(F.first("__row").alias("__row"), found.alias("__units"))
+    value = lambda out: F.element_at("__units", F.lit(out))
+    return wide.select("__row.*", *((value(o) if fill is None else F.coalesce(value(o).cast("string"), F.lit(fill))).alias(o) for o in roles.values()))
