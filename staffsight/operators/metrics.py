@@ -149,11 +149,20 @@ def majority_baseline(df: DataFrame, y: str = "y", train: DataFrame | None = Non
     return df.withColumn("p", F.lit(1.0 if m else 0.0))
 
 
-def stratified_baseline(df: DataFrame, y: str = "y", seed: int = 42, train: DataFrame | None = None) -> DataFrame:
-    """M9: a random class drawn with the training prior, per row (seeded)."""
+def stratified_baseline(df: DataFrame, y: str = "y", seed: int = 42, train: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """M9: a random class drawn with the training prior, per row (seeded).
+
+    With ``key`` the draw is a hash of the row's key and the seed, so it depends neither on
+    partitions nor on the order of rows; without it rows draw from ``rand``.
+    """
     src = train if train is not None else df
     prior = src.agg(F.avg((F.col(y) == 1).cast("double")).alias("__p")).first()["__p"]
-    return df.withColumn("p", (F.rand(seed) < F.lit(prior)).cast("double"))
+    if key is None:
+        draw = F.rand(seed)
+    else:
+        digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 12)
+        draw = F.conv(digits, 16, 10).cast("double") / float(16**12)
+    return df.withColumn("p", (draw < F.lit(prior)).cast("double"))
 
 
 # Prediction ranges (days) of the range report, (label, lower, upper].

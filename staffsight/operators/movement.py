@@ -45,9 +45,9 @@ def hour_movement(df: DataFrame, corr: bool = False, id_col: str = "id", snap: s
     j = cur.join(nxt, [id_col, flag, "next_snap"], "full")
     j = j.withColumn(snap, F.coalesce(F.col(snap), F.col("__prev")))
     out = j.groupBy(snap, "next_snap", flag).agg(
-        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNotNull(), F.col("__h")).otherwise(0.0)).alias("kept_hours"),
-        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNull(), F.col("__h")).otherwise(0.0)).alias("cancelled_hours"),
-        F.sum(F.when(F.col("__in").isNull() & F.col("__in2").isNotNull(), F.col("__h2")).otherwise(0.0)).alias("new_hours"))
+        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNotNull(), F.coalesce("__h", F.lit(0.0))).otherwise(0.0)).alias("kept_hours"),
+        F.sum(F.when(F.col("__in").isNotNull() & F.col("__in2").isNull(), F.coalesce("__h", F.lit(0.0))).otherwise(0.0)).alias("cancelled_hours"),
+        F.sum(F.when(F.col("__in").isNull() & F.col("__in2").isNotNull(), F.coalesce("__h2", F.lit(0.0))).otherwise(0.0)).alias("new_hours"))
     if corr:
         bounds = df.agg(F.min(snap).alias("__first"), F.max(snap).alias("__last"))
         b = F.broadcast(bounds)

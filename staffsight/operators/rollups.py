@@ -99,17 +99,15 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
     skills = F.array(*[F.struct(F.lit(s).alias("__sl"), F.coalesce(F.col(s).cast("string"), F.lit(UNDEFINED))
                                 .alias("__sk")) for s in SKILL_LEVELS],
                      F.struct(F.lit(TOTAL).alias("__sl"), F.lit("").alias("__sk")))
-    p = pos.select(key, *base, F.col(city_col).cast("string").alias("__city"),
-                   F.col(country_col).cast("string").alias("__country"), *SKILL_LEVELS)
-    city_rows = p.where(F.col("__city").isNotNull()).select(
-        key, *base, F.lit(CITY_LEVEL).alias("__ll"), F.col("__city").alias("__lk"), *SKILL_LEVELS).distinct()
-    country_rows = p.where(F.col("__country").isNotNull()).select(
-        key, *base, F.lit(COUNTRY_LEVEL).alias("__ll"), F.col("__country").alias("__lk"), *SKILL_LEVELS).distinct()
-    total_rows = p.select(key, *base, F.lit(TOTAL).alias("__ll"), F.lit("").alias("__lk"), *SKILL_LEVELS).distinct()
-    plong = (city_rows.unionByName(country_rows).unionByName(total_rows)
-             .select(key, *base, "__ll", "__lk", F.explode(skills).alias("__s"))
+    # one pass over the positions: their distinct locations of each level, then one row per (level, skill) key
+    near = pos.groupBy(key, *base, *SKILL_LEVELS).agg(
+        F.collect_set(F.col(city_col).cast("string")).alias("__cities"), F.collect_set(F.col(country_col).cast("string")).alias("__countries"))
+    at = lambda level: lambda k: F.struct(F.lit(level).alias("__ll"), k.alias("__lk"))
+    places = F.concat(F.transform("__cities", at(CITY_LEVEL)), F.transform("__countries", at(COUNTRY_LEVEL)), F.array(at(TOTAL)(F.lit(""))))
+    plong = (near.select(key, *base, F.explode(places).alias("__p"), skills.alias("__skills"))
+             .select(key, *base, "__p.*", F.explode("__skills").alias("__s"))
              .select(key, *base, "__ll", "__lk", "__s.__sl", "__s.__sk"))
-    joined = plong.join(agg, [*base, "__ll", "__lk", "__sl", "__sk"], "inner")
+    joined = plong.join(agg, [*base, "__ll", "__lk", "__sl", "__sk"], "left")
     suffix = (F.when((F.col("__ll") == TOTAL) & (F.col("__sl") == TOTAL), F.lit("company"))
               .when(F.col("__ll") == TOTAL, F.col("__sl"))
               .when(F.col("__sl") == TOTAL, F.col("__ll"))
@@ -118,9 +116,7 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
     joined = joined.withColumn("__name", F.concat(F.lit(prefix + "_"), slug, F.lit("_"), suffix))
     names = feature_names(prefix, tv)
     wide = joined.groupBy(key, *base).pivot("__name", names).agg(F.sum("__v"))
-    keys_all = pos.select(key, *base).distinct()
-    out = keys_all.join(wide, [key, *base], "left")
-    return out.select(key, *base, *[F.coalesce(F.col(n), F.lit(0)).cast(res_type).alias(n) for n in names])
+    return wide.select(key, *base, *[F.coalesce(F.col(n), F.lit(0)).cast(res_type).alias(n) for n in names])
 
 
 def total_over_targets(df: DataFrame, prefix: str, targets: Sequence[str], out_slug: str = "total") -> DataFrame:
