@@ -113,6 +113,22 @@ def q_stratified(spark, sf_dir):
     return mx.stratified_baseline(s, "y", seed=7).select("doc_id", "y", "p")
 
 
+_DRAW_SQL = ("cast(('0x' || substr(md5('7:' || cast(doc_id as varchar)), 1, 12))::bigint as double) / 281474976710656.0 "
+             "< (select avg(cast(y = 1 as int)) from v_score)")
+
+
+@register("m9_stratified_draws", f"select doc_id, y, case when {_DRAW_SQL} then 1.0 else 0.0 end as p from v_score", views=("v_score",))
+def q_draws(spark, sf_dir):
+    return mx.stratified_baseline(fx.v_score(Tables(spark, sf_dir)), "y", seed=7, key="doc_id").select("doc_id", "y", "p")
+
+
+@register("m9_stratified_baseline_metrics", f"with drawn as (select *, case when {_DRAW_SQL} then 1.0 else 0.0 end as draw from v_score),\n"
+          + _clf_sql("draw").lstrip().replace("from v_score", "from drawn"), views=("v_score",))
+def q_stratified_metrics(spark, sf_dir):
+    s = fx.v_score(Tables(spark, sf_dir))
+    return _rounded_clf(mx.classification_metrics(mx.stratified_baseline(s, "y", seed=7, key="doc_id")))
+
+
 @register("m10_mae_by_range", """
 with r as (select l_quantity as target, cast(l_quantity + l_linenumber - 3 as double) as predictions,
              25.0 as baseline from lineitem),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import locations as loc
 from ..operators import rollups as ru
 from ..operators import snapshots as snap
+from ..operators.text import printable_ascii
 from ..sources import fixtures as fx
 from ..sources import io
 from ..sources.tables import Tables
@@ -200,6 +201,82 @@ def q_supply_demand(spark, sf_dir):
     return r.select("position_id", "day", *[f"supply_vs_demand_{s}" for s in _suffixes()])
 
 
+# --- A5: total proposals and bench count; A6: customer scope; A8: bench over positions ------
+ALL = "all"
+_A5_PROPOSALS_SQL = """,
+feat2 as (select j.day, null as container_name, cast(j.primary_skill_id as varchar) as primary_skill_id,
+    cast(j.primary_skill_category_id as varchar) as primary_skill_category_id, 'P' || cast(j.primary_skill_category_id % 2 as varchar) as skill_prefix,
+    cast(j.city_id as varchar) as city_id, cast(j.country_id as varchar) as country_id, 'all' as target, count(*) as value
+  from j join v_proposal v on v.position_id = j.position_id and cast(v.time as date) <= j.day group by all)"""
+_A5_COUNT_SQL = _A5_BENCH_SQL.replace("feat2 as (", "feat1 as (") + f""",
+feat2 as (select * replace ('{ALL}' as target) from feat1)"""
+
+
+def proposals_feature(spark, t):
+    """Proposals known by each day, by skill and place of their position."""
+    active = snap.active_positions(fx.v_position(t), billing_type=None)
+    j = snap.validity_join(io.days(spark, ROLLUP_DAYS), active, how="inner")
+    v = fx.v_proposal(t).groupBy("position_id", F.col("time").cast("date").alias("on")).agg(F.count(F.lit(1)).alias("n"))
+    rows = j.join(v, "position_id").where(F.col("on") <= F.col("day"))
+    rows = rows.withColumn("skill_prefix", F.concat(F.lit("P"), (F.col("primary_skill_category_id") % 2).cast("string")))
+    return rows.groupBy("day", "primary_skill_id", "primary_skill_category_id", "skill_prefix", "city_id", "country_id").agg(
+        F.sum("n").alias("value")).withColumn("target", F.lit(ALL))
+
+
+def bench_feature(spark, t):
+    """Employees on the bench on each day, by skill and place."""
+    b = ru.bench_rows(io.days(spark, ROLLUP_DAYS), fx.v_worklog(t))
+    return _employee_levels(t, b).withColumn("value", F.lit(1)).withColumn("target", F.lit(ALL))
+
+
+@register("a5_rollup_total_proposals", _rollup_oracle("total_proposals", None, feat_sql=_A5_PROPOSALS_SQL, targets=(ALL,)),
+          views=("v_position", "v_proposal"))
+def q_rollup_proposals(spark, sf_dir):
+    pos, _ = _rollup_inputs(spark, sf_dir)
+    return ru.rollup_features(pos, proposals_feature(spark, Tables(spark, sf_dir)), "target", "value", "total_proposals", (ALL,))
+
+
+@register("a5_rollup_bench_count", _rollup_oracle("on_bench", None, feat_sql=_A5_COUNT_SQL, targets=(ALL,)), views=("v_position", "v_worklog"))
+def q_rollup_bench_count(spark, sf_dir):
+    pos, _ = _rollup_inputs(spark, sf_dir)
+    return ru.rollup_features(pos, bench_feature(spark, Tables(spark, sf_dir)), "target", "value", "on_bench", (ALL,))
+
+
+def _customer_sql() -> str:
+    sql = _rollup_oracle("customer_positions", "container_name")
+    name = "'Cst #' || cast({}customer_id as varchar) as container_name,"
+    sql = sql.replace("j.container_name,", name.format("j.")).replace("select day, container_name,", "select day, " + name.format(""))
+    return "with r as (" + sql + ") select * exclude (container_name), container_name as customer_name from r"
+
+
+@register("a6_rollup_same_customer", _customer_sql(), views=("v_position",))
+def q_rollup_customer(spark, sf_dir):
+    """A6 within the position's customer, whose name is cleaned to printable ASCII first."""
+    t = Tables(spark, sf_dir)
+    pos, _ = _rollup_inputs(spark, sf_dir)
+    name = printable_ascii(F.concat(F.lit("C\u00fcst\u200b #"), F.col("customer_id").cast("string")))
+    names = fx.v_position(t).select("position_id", name.alias("customer_name"))
+    active = snap.validity_join(io.days(spark, ROLLUP_DAYS), snap.active_positions(fx.v_position(t), billing_type=None), how="inner")
+    active = active.withColumn("skill_prefix", F.concat(F.lit("P"), (F.col("primary_skill_category_id") % 2).cast("string")))
+    feat = active.groupBy("day", name.alias("customer_name"), "primary_skill_id", "primary_skill_category_id", "skill_prefix", "city_id", "country_id",
+                          F.col("staffing_status").alias("target")).agg(F.count(F.lit(1)).alias("value"))
+    return ru.rollup_features(pos.join(names, "position_id"), feat, "target", "value", "customer_positions", TARGETS, scope_key="customer_name")
+
+
+@register("a8_bench_vs_positions", "with r as (" + _rollup_oracle("positions", None) + "),\nb as ("
+          + _rollup_oracle("on_bench", None, feat_sql=_A5_COUNT_SQL, targets=(ALL,)) + ")\nselect r.position_id, r.day, "
+          + ", ".join("coalesce(case when " + " + ".join(f"positions_{ru.target_slug(t)}_{s}" for t in TARGETS) + f" = 0 then null else on_bench_all_{s} * 1.0 / ("
+                      + " + ".join(f"positions_{ru.target_slug(t)}_{s}" for t in TARGETS) + f") end, 0) as supply_vs_demand_{s}" for s in _suffixes())
+          + " from r join b on b.position_id = r.position_id and b.day = r.day", views=("v_position", "v_worklog"))
+def q_bench_positions(spark, sf_dir):
+    """Employees on the bench over all active positions at the twelve levels."""
+    pos, feat = _rollup_inputs(spark, sf_dir)
+    total = ru.total_over_targets(ru.rollup_features(pos, feat, "target", "value", "positions", TARGETS), "positions", TARGETS)
+    bench = ru.rollup_features(pos, bench_feature(spark, Tables(spark, sf_dir)), "target", "value", "on_bench", (ALL,))
+    both = ru.supply_vs_demand(total.join(bench, ["position_id", "day"]), f"on_bench_{ALL}", "positions_total")
+    return both.select("position_id", "day", *(f"supply_vs_demand_{s}" for s in _suffixes()))
+
+
 # --- locations -----------------------------------------------------------------------
 def _location_json(c) -> F.Column:
     """Fixture JSON location lists in the five shapes of the reference's literals."""
