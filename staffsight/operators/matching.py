@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -63,19 +64,39 @@ def positions_in_period(positions: DataFrame, workload: DataFrame, period,
     return p.join(w, "position_id", "inner")
 
 
+#: Edges that one task matches in order; it holds them and their ends.
+MATCH_BATCH = 1_000_000
+
+
+def _in_order(batches):
+    """The edges of a stream, best first, whose ends no earlier edge has taken."""
+    lefts, rights = set(), set()
+    for batch in batches:
+        keep = []
+        for i, (a, b) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            if a not in lefts and b not in rights:
+                lefts.add(a)
+                rights.add(b)
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
 def greedy_match(edges: DataFrame, left: str = "position_id", right: str = "employee_id",
-                 order: Sequence[str] = ("position_importance", "score")) -> DataFrame:
+                 order: Sequence[str] = ("position_importance", "score"), batch: int = MATCH_BATCH) -> DataFrame:
     """One-to-one matching equal to the sequential greedy pass (take the best
     remaining edge, drop its two ends, repeat).
 
     Edges are ordered by ``order`` descending, ties by larger (left, right) — a total
-    order. Each round accepts every edge that is the best remaining edge of both its
-    ends (the global best always is, so every round makes progress; under a total order
-    these edges are exactly the ones the sequential pass takes), then removes all edges
-    touching them. Per-end maxima are partial aggregates (no sort of a hot key). Each
-    round's remainder is checkpointed to the cluster's checkpoint folder, which cuts the
+    order. While more than ``batch`` edges remain, a distributed round accepts every edge that is
+    the best remaining edge of both its ends (the sequential pass takes exactly those) and removes
+    all edges touching them; if that leaves more than half, the best ``batch`` edges, which the
+    sequential pass decides before all others, are matched in order by one task. The last
+    ``batch`` edges are matched so too. Hence the number of rounds follows the number of edges
+    (a round halves them or decides ``batch`` of them), not the longest chain, and no task
+    holds more than ``batch`` edges. Per-end maxima are partial aggregates (no sort of a hot
+    key). What remains is checkpointed to the cluster's checkpoint folder, which cuts the
     lineage and survives executor loss. Edges with a null order value are dropped first;
-    an empty edge set gives an empty result. Every round removes an edge, so it ends.
+    an empty edge set gives an empty result.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -84,17 +105,34 @@ def greedy_match(edges: DataFrame, left: str = "position_id", right: str = "empl
         cond &= F.col(c).isNotNull()
     rank = F.struct(*[F.col(c) for c in order], F.col(left), F.col(right))
     remaining = edges.where(cond).select(rank.alias("__k")).distinct().checkpoint(eager=True)
-    accepted = []
-    while not remaining.isEmpty():
+    accepted, n = [], remaining.count()
+
+    def best_of_both_ends():
         best_l = remaining.groupBy(F.col("__k")[left].alias("__l")).agg(F.max("__k").alias("__k"))
         best_r = remaining.groupBy(F.col("__k")[right].alias("__r")).agg(F.max("__k").alias("__k"))
-        acc = best_l.select("__k").join(best_r.select("__k"), "__k").checkpoint(eager=True)
-        accepted.append(acc)
-        gone_l = acc.select(F.col("__k")[left].alias("__l"))
-        gone_r = acc.select(F.col("__k")[right].alias("__r"))
-        remaining = (remaining.withColumn("__l", F.col("__k")[left]).withColumn("__r", F.col("__k")[right])
-                     .join(gone_l, "__l", "left_anti").join(gone_r, "__r", "left_anti")
-                     .select("__k").checkpoint(eager=True))
+        return best_l.select("__k").join(best_r.select("__k"), "__k")
+
+    def first_in_order():
+        best = remaining.orderBy(F.desc("__k")).limit(batch) if n > batch else remaining
+        best = best.select("__k", F.col("__k")[left].alias("__l"), F.col("__k")[right].alias("__r"))
+        best = best.repartition(1).sortWithinPartitions(F.desc("__k"))
+        return best.mapInArrow(_in_order, best.schema).select("__k")
+
+    def without(taken):
+        gone_l = taken.select(F.col("__k")[left].alias("__l"))
+        gone_r = taken.select(F.col("__k")[right].alias("__r"))
+        rest = (remaining.withColumn("__l", F.col("__k")[left]).withColumn("__r", F.col("__k")[right])
+                .join(gone_l, "__l", "left_anti").join(gone_r, "__r", "left_anti").select("__k"))
+        return rest.checkpoint(eager=True)
+
+    in_order = False
+    while n > batch:
+        accepted.append((first_in_order() if in_order else best_of_both_ends()).checkpoint(eager=True))
+        remaining, before = without(accepted[-1]), n
+        n = remaining.count()
+        in_order = not in_order and 2 * n > before
+    if n:
+        accepted.append(first_in_order().checkpoint(eager=True))
     cols = [F.col("__k")[c].alias(c) for c in (left, right, *order)]
     if not accepted:
         return edges.where(F.lit(False)).select(left, right, *order)

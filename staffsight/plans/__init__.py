@@ -14,4 +14,5 @@ from . import q_model  # noqa: F401
 from . import q_io  # noqa: F401
 from . import q_lifecycle  # noqa: F401
 from . import q_dated  # noqa: F401
+from . import q_jobs  # noqa: F401
 from . import feature_jobs  # noqa: F401

@@ -219,3 +219,19 @@ def q_m14(spark, sf_dir):
 @register("a38_placement_summary")
 def q_placement(spark, sf_dir):
     return mt.placement_summary(_m14(spark, sf_dir))
+
+
+#: Both periods of a run: its next month and the month after.
+PERIODS = (PERIOD, "1996-04-01")
+
+
+@register("m14_both_periods")
+def q_both_periods(spark, sf_dir):
+    """Rows-only: M14 for both periods of a run, each on its own slice of the forecast."""
+    t = Tables(spark, sf_dir)
+    rows = forecast(t)
+    later = rows.withColumn("period", F.lit(PERIODS[1]).cast("date")).withColumn("predicted", F.col("predicted") * 0.9)
+    every = rows.unionByName(later)
+    parts = [mt.revenue_from_utilization(mt.forecast_slice(every, "ext", RUN_DATE, p), positions(t), workload(t), importance(spark, t),
+                                         fx.v_edge(t), p, RUN_DATE) for p in PERIODS]
+    return mt.placed_only(parts[0].unionByName(parts[1]))

@@ -38,6 +38,31 @@ def test_greedy_equals_sequential(spark, seed):
     assert got == sequential_greedy(rows)
 
 
+@pytest.mark.parametrize("batch", [1, 7, 40])
+def test_greedy_in_small_batches(spark, batch):
+    rnd = random.Random(batch)
+    rows = sorted({(rnd.randint(1, 25), rnd.randint(1, 20), float(rnd.randint(1, 3)), float(rnd.randint(1, 4))) for _ in range(120)})
+    rows = list({(p, e): (p, e, i, s) for p, e, i, s in rows}.values())
+    df = spark.createDataFrame(rows, "position_id long, employee_id long, position_importance double, score double")
+    got = sorted((r.position_id, r.employee_id) for r in mt.greedy_match(df, batch=batch).collect())
+    assert got == sequential_greedy(rows)
+
+
+def test_greedy_takes_few_jobs_on_a_chain(spark):
+    """10 000 edges, each next to a better one: only the first is the best of both its ends."""
+    rows = [((i + 1) // 2, i // 2, float(-i), 0.0) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "position_id long, employee_id long, position_importance double, score double")
+    sc = spark.sparkContext
+    sc.setJobGroup("chain", "greedy matching of a chain")
+    try:
+        out = mt.greedy_match(df)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.position_id, r.employee_id) for r in out.collect()) == sequential_greedy(rows)
+    assert jobs < 10
+
+
 def test_greedy_empty_and_null(spark):
     df = spark.createDataFrame([(1, 1, None, 1.0)], "position_id long, employee_id long, "
                                                     "position_importance double, score double")
