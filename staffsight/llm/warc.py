@@ -1,16 +1,17 @@
 """Operator 5, WARC records and a Merkle fixity audit of their replicas.
 
-Pages become WARC records, records are laid out in archives in page order, and every archive
-gets a hash tree: a leaf is the SHA-256 of a record's digest and byte range, a node the SHA-256
-of the hashes of up to FANOUT consecutive children and of the byte range they span. The archives'
-roots are the leaves of a second tree, whose root stands for the whole collection. An audit takes
-two record tables with their own offsets (``manifest``, or ``located`` of ``read_warc``), gives the
-archives and ranges of both one common order, compares the roots and descends level by level,
-reading only the children of nodes that differ, down to the records: damaged (another digest at
-the same range), missing or extra (a range that only one replica has; a record moved to another
-place is missing there and extra here).
-
-The query audits the manifest against a copy with damaged and lost records that keeps the
+Pages become WARC records, records are laid out in archives in page order, and every replica's
+archive gets a hash tree of its own: a leaf is the SHA-256 of the byte ranges and digests of the
+records that start in one cell of CELL_BYTES, a node the SHA-256 of the hashes of up to FANOUT
+consecutive children and of the byte range they span. As cells are fixed offset ranges, the trees of
+two replicas need no common order. The archives' roots are the leaves of a second tree, whose root
+stands for the whole collection. An audit takes two record tables with their own offsets
+(``manifest``, or ``located`` of ``read_warc``), compares the roots and descends level by level,
+reading only the children of nodes that differ; records are compared in the cells that differ and
+nowhere else: damaged (another digest at the same range), missing or extra (a range that only one
+replica has; a record moved to another place is missing there and extra here).
+
+The query audits the manifest against a stored copy with damaged and lost records that keeps the
 manifest's byte ranges, so a lost record does not shift those after it.
 
 Defined results: null url and html are empty; a null page_id is in an archive of its own (-1);
@@ -35,6 +36,8 @@ ship(__name__)
 
 #: Pages (by id) in an archive, and children of a tree node.
 ARCHIVE_PAGES, FANOUT = 1000, 16
+#: Bytes of an archive that one leaf stands for.
+CELL_BYTES = 1 << 16
 END = "\r\n\r\n"
 
 
@@ -103,8 +106,11 @@ def tree(leaves: DataFrame, heights: tuple[int, int], label: str) -> list[DataFr
     return levels
 
 
-def differing(left: list[DataFrame], right: list[DataFrame], heights: tuple[int, int]) -> DataFrame:
-    """(grp, idx) of the leaves whose hashes differ, found by descending from the roots."""
+def differing(left: list[DataFrame], right: list[DataFrame], heights: tuple[int, int], read: list[int] | None = None) -> DataFrame:
+    """(grp, idx) of the leaves whose hashes differ, found by descending from the roots.
+
+    ``read`` gets the number of nodes read on each level.
+    """
     differ = None
     for depth in reversed(range(len(left))):
         a, b = left[depth].select("grp", "idx", F.col("hash").alias("ha")), right[depth].select("grp", "idx", F.col("hash").alias("hb"))
@@ -116,6 +122,8 @@ def differing(left: list[DataFrame], right: list[DataFrame], heights: tuple[int,
             below = lambda d: d.withColumn("up", F.floor(F.col("idx") / FANOUT) if depth != heights[0] else F.lit(0).cast("long")).join(
                 parent, ["grp", "up"], "left_semi").drop("up")
             a, b = below(a), below(b)
+        if read is not None:
+            read.append(a.count() + b.count())
         both = a.join(b, ["grp", "idx"], "full").where(~F.col("ha").eqNullSafe(F.col("hb"))).select("grp", "idx")
         differ = save(both, "merkle-differ")
         if differ.isEmpty():
@@ -136,30 +144,37 @@ def lost() -> Column:
     return F.coalesce(F.pmod("page_id", F.lit(211)) == 5, F.lit(False))
 
 
-def _common_leaves(first: DataFrame, second: DataFrame) -> DataFrame:
-    """grp, idx, start, end, first, second (digests, null where a replica has no such range), in one order for both."""
-    side = lambda df, name: df.groupBy("archive", "start", "end").agg(
-        F.array_join(F.sort_array(F.collect_set("hash")), "").alias(name))
-    both = side(first, "first").join(side(second, "second"), ["archive", "start", "end"], "full")
-    order = Window.partitionBy("archive").orderBy("start", "end")
-    return both.withColumn("idx", (F.row_number().over(order) - 1).cast("long")).withColumnRenamed("archive", "grp")
+def _located_cells(records: DataFrame) -> DataFrame:
+    return records.withColumn("cell", F.floor(F.coalesce("start", F.lit(0)) / CELL_BYTES).cast("long"))
 
 
-def audit(first: DataFrame, second: DataFrame) -> DataFrame:
+def cells(records: DataFrame) -> DataFrame:
+    """grp, idx, hash, start, end: a replica's leaves, one for each cell in which a record starts."""
+    line = F.concat_ws(":", F.col("start").cast("string"), F.col("end").cast("string"), "hash")
+    return _located_cells(records).groupBy(F.col("archive").alias("grp"), F.col("cell").alias("idx")).agg(
+        F.sha2(F.array_join(F.sort_array(F.collect_set(line)), ","), 256).alias("hash"), F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+def audit(first: DataFrame, second: DataFrame, read: list[int] | None = None) -> DataFrame:
     """archive, start, end, first, second (digests), status of every record of two replicas.
 
     Both tables have archive, start, end, hash (a null hash is no record); status is intact, damaged,
-    missing (not in ``second``) or extra (not in ``first``).
+    missing (not in ``second``) or extra (not in ``first``). Intact rows outside of differing cells are
+    read from ``first`` alone. ``read`` gets the number of tree nodes read on each level.
     """
     given = [df.where("hash IS NOT NULL").select("archive", "start", "end", "hash") for df in (first, second)]
-    leaves = save(_common_leaves(*given), "merkle-leaves")
-    heights = _heights(leaves)
-    trees = [tree(leaves.withColumn("hash", F.col(name)), heights, name) for name in ("first", "second")]
-    differ = differing(*trees, heights).withColumn("hit", F.lit(True))
-    status = (F.when(F.col("hit").isNull(), "intact").when(F.col("second").isNull(), "missing")
-              .when(F.col("first").isNull(), "extra").otherwise("damaged"))
-    return leaves.join(differ, ["grp", "idx"], "left").select(
-        F.col("grp").alias("archive"), "start", "end", "first", "second", status.alias("status"))
+    leaves = [save(cells(df), "merkle-cells") for df in given]
+    heights = tuple(max(h) for h in zip(*map(_heights, leaves)))
+    trees = [tree(own, heights, name) for own, name in zip(leaves, ("first", "second"))]
+    differ = differing(*trees, heights, read).select(F.col("grp").alias("archive"), F.col("idx").alias("cell"))
+    open_, shut = ([_located_cells(df).join(differ, ["archive", "cell"], how) for df in given] for how in ("left_semi", "left_anti"))
+    side = lambda df, name: df.groupBy("archive", "start", "end").agg(
+        F.array_join(F.sort_array(F.collect_set("hash")), "").alias(name))
+    both = side(open_[0], "first").join(side(open_[1], "second"), ["archive", "start", "end"], "full")
+    status = (F.when(F.col("second").isNull(), "missing").when(F.col("first").isNull(), "extra")
+              .when(F.col("first") == F.col("second"), "intact").otherwise("damaged"))
+    same = side(shut[0], "first").withColumns({"second": F.col("first"), "status": F.lit("intact")})
+    return both.withColumn("status", status).unionByName(same)
 
 
 def fixity_report(pages: DataFrame) -> DataFrame:
@@ -167,7 +182,7 @@ def fixity_report(pages: DataFrame) -> DataFrame:
     copy = F.when(~lost(), F.sha2(record(F.col("page_id").cast("long"), F.col("url").cast("string"), damaged_html()), 256))
     hashed = pages.select(*(e.alias(c) for c, e in _leaf_columns().items()), copy.alias("copy_hash"))
     mine = save(manifest(hashed), "merkle-manifest")
-    theirs = mine.select("archive", "start", "end", F.col("copy_hash").alias("hash"))
+    theirs = save(mine.select("archive", "start", "end", F.col("copy_hash").alias("hash")), "merkle-copy")
     found = audit(mine, theirs).select("archive", "start", "end", "status")
     return mine.join(found, ["archive", "start", "end"], "left").select(
         "page_id", "archive", F.col("idx").alias("position"), "copies", F.col("start").cast("long").alias("byte_start"),

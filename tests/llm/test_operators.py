@@ -214,6 +214,20 @@ def test_warc_audit_of_two_replicas(spark, tmp_path):
     assert warc.audit(first.limit(0), first.limit(0)).count() == 0
 
 
+def test_warc_audit_reads_only_what_differs(spark):
+    sizes = "archive long, start long, end long, hash string"
+    data = [(a, 9000 * i, 9000 * i + 9000, f"{a}-{i}") for a in range(40) for i in range(600)]
+    first = spark.createDataFrame(data, sizes)
+    read = []
+    assert {r.status for r in warc.audit(first, first, read).collect()} == {"intact"} and read == [2]
+    bad = [(*r[:3], "?") if r[:2] == (17, 9000 * 333) else r for r in data]
+    read = []
+    found = [r for r in warc.audit(first, spark.createDataFrame(bad, sizes), read).collect() if r.status != "intact"]
+    assert [(r.archive, r.start, r.first, r.second, r.status) for r in found] == [(17, 9000 * 333, "17-333", "?", "damaged")]
+    # each of the six levels (three of the collection, three of the archive) reads the children of one node of each replica
+    assert read[0] == 2 and all(n <= 2 * warc.FANOUT for n in read) and len(read) == 6
+
+
 # 6, BPE
 
 def reference_encoding():
