@@ -287,6 +287,16 @@ def test_pii_base_equals_patterns():
         assert [s for s in pii.find(text, anchors) if s[0] in pii.BASE] == brute_pii(text), text
 
 
+def test_pii_cues_in_any_case():
+    anchors = pii.automaton()
+    for lead in ("", "\u0130\u0130 ", "\u00c4 "):  # U+0130 lower-cases to two code points
+        text = lead + "Https://a.example/X ACCOUNT NO 12345678 Ssn: 123-45-6789 iBaN DE89 3704 0044 0532 0130 00"
+        spans = [s for s in pii.find(text, anchors) if s[0] not in pii.BASE]
+        assert [text[a:b] for _, a, b in spans] == [
+            "Https://a.example/X", "12345678", "123-45-6789", "DE89 3704 0044 0532 0130 00"], text
+        assert [k for k, _, _ in spans] == ["url", "account", "account", "iban"]
+
+
 def test_pii_extra_kinds_and_redaction(spark):
     text = "see https://a.example/x?y=1, IBAN: DE89 3704 0044 0532 0130 00 and account no 12345678; é a@b.co"
     spans = pii.find(text, pii.automaton())
