@@ -45,9 +45,9 @@ def probability_of(label: Column) -> Column:
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], amount: str = "amount") -> DataFrame:
-    """Wide months → rows (ids..., month 1–12, amount); missing months are 0."""
+    """Wide months → rows (ids..., month 1–12, amount); missing months are 0, decimals stay exact."""
     stacked = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("month"),
-                                           F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(amount))
+                                           F.coalesce(F.col(m), F.lit(0)).alias(amount))
                                   for i, m in enumerate(MONTHS)]))
     return df.select(*ids, stacked.alias("__m")).select(*ids, "__m.month", f"__m.{amount}")
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ratios import safe_ratio
 from .snapshots import validity_counts, validity_join
@@ -56,24 +56,10 @@ def _checked_targets(targets: Sequence[str]) -> list[str]:
     return list(by_slug.values())
 
 
-def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col: str, prefix: str,
-                    targets: Sequence[str], key: str = "position_id", day_col: str = "day",
-                    city_col: str = "city_id", country_col: str = "country_id",
-                    scope_key: str | None = None, res_type: str = "int") -> DataFrame:
-    """A4: feature summed at twelve location × skill levels per target, attached to each
-    (position, day).
-
-    ``pos``: one row per (position, day, location) with ``city_col``/``country_col`` and
-    the skill columns ``primary_skill_id``, ``primary_skill_category_id``,
-    ``skill_prefix``. ``feat``: rows (day, skill columns, city, country, target, value).
-    Location levels add each *distinct* city (country) of the position once; the other
-    levels read the value at the position's own skill key. Missing → 0; the result is cast
-    to ``res_type``. ``targets`` names the values that become columns (their names must
-    differ after lower-casing; rows with other or null targets count nowhere). ``scope_key`` (A6) is an extra key on both sides (customer,
-    container). Output: ``key, day[, scope], <prefix>_<target>_<level>...``.
-    """
-    tv = _checked_targets(targets)
-    base = [day_col] + ([scope_key] if scope_key else [])
+def level_sums(feat: DataFrame, base: Sequence[str], target_col: str, value_col: str, city_col: str = "city_id",
+               country_col: str = "country_id") -> DataFrame:
+    """The feature summed over the twelve grouping sets: base, ``__target``, location level and
+    key ``__ll``/``__lk``, skill level and key ``__sl``/``__sk``, sum ``__v``."""
     lvl_cols = [city_col, country_col, *SKILL_LEVELS]
     f = feat.select(*base, F.col(target_col).alias("__target"), F.col(value_col).alias("__value"),
                     *[F.col(c).cast("string").alias(c) for c in lvl_cols])
@@ -93,9 +79,13 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
     for s in reversed(SKILL_LEVELS):
         sk_level = F.when(F.col(f"__g_{s}") == 0, F.lit(s)).otherwise(sk_level)
         sk_key = F.when(F.col(f"__g_{s}") == 0, F.coalesce(F.col(s), F.lit(UNDEFINED))).otherwise(sk_key)
-    agg = agg.select(*base, "__target", "__v", loc_level.alias("__ll"), loc_key.alias("__lk"),
-                     sk_level.alias("__sl"), sk_key.alias("__sk"))
+    return agg.select(*base, "__target", "__v", loc_level.alias("__ll"), loc_key.alias("__lk"),
+                      sk_level.alias("__sl"), sk_key.alias("__sk"))
+
 
+def position_cells(pos: DataFrame, key: str, base: Sequence[str], city_col: str = "city_id",
+                   country_col: str = "country_id") -> DataFrame:
+    """The distinct (level, key) cells that a position reads, as (key, base, ``__ll``, ``__lk``, ``__sl``, ``__sk``)."""
     skills = F.array(*[F.struct(F.lit(s).alias("__sl"), F.coalesce(F.col(s).cast("string"), F.lit(UNDEFINED))
                                 .alias("__sk")) for s in SKILL_LEVELS],
                      F.struct(F.lit(TOTAL).alias("__sl"), F.lit("").alias("__sk")))
@@ -104,16 +94,43 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
         F.collect_set(F.col(city_col).cast("string")).alias("__cities"), F.collect_set(F.col(country_col).cast("string")).alias("__countries"))
     at = lambda level: lambda k: F.struct(F.lit(level).alias("__ll"), k.alias("__lk"))
     places = F.concat(F.transform("__cities", at(CITY_LEVEL)), F.transform("__countries", at(COUNTRY_LEVEL)), F.array(at(TOTAL)(F.lit(""))))
-    plong = (near.select(key, *base, F.explode(places).alias("__p"), skills.alias("__skills"))
-             .select(key, *base, "__p.*", F.explode("__skills").alias("__s"))
-             .select(key, *base, "__ll", "__lk", "__s.__sl", "__s.__sk"))
-    joined = plong.join(agg, [*base, "__ll", "__lk", "__sl", "__sk"], "left")
+    return (near.select(key, *base, F.explode(places).alias("__p"), skills.alias("__skills"))
+            .select(key, *base, "__p.*", F.explode("__skills").alias("__s"))
+            .select(key, *base, "__ll", "__lk", "__s.__sl", "__s.__sk"))
+
+
+def feature_name(prefix: str) -> Column:
+    """The name of the feature column of a row with ``__ll``, ``__sl`` and ``__target``."""
     suffix = (F.when((F.col("__ll") == TOTAL) & (F.col("__sl") == TOTAL), F.lit("company"))
               .when(F.col("__ll") == TOTAL, F.col("__sl"))
               .when(F.col("__sl") == TOTAL, F.col("__ll"))
               .otherwise(F.concat(F.col("__ll"), F.lit("_"), F.col("__sl"))))
     slug = F.lower(F.regexp_replace(F.col("__target").cast("string"), " ", "_"))
-    joined = joined.withColumn("__name", F.concat(F.lit(prefix + "_"), slug, F.lit("_"), suffix))
+    return F.concat(F.lit(prefix + "_"), slug, F.lit("_"), suffix)
+
+
+def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col: str, prefix: str,
+                    targets: Sequence[str], key: str = "position_id", day_col: str = "day",
+                    city_col: str = "city_id", country_col: str = "country_id",
+                    scope_key: str | None = None, res_type: str = "int") -> DataFrame:
+    """A4: feature summed at twelve location × skill levels per target, attached to each
+    (position, day).
+
+    ``pos``: one row per (position, day, location) with ``city_col``/``country_col`` and
+    the skill columns ``primary_skill_id``, ``primary_skill_category_id``,
+    ``skill_prefix``. ``feat``: rows (day, skill columns, city, country, target, value).
+    Location levels add each *distinct* city (country) of the position once; the other
+    levels read the value at the position's own skill key. Missing → 0; the result is cast
+    to ``res_type``. ``targets`` names the values that become columns (their names must
+    differ after lower-casing; rows with other or null targets count nowhere). ``scope_key`` (A6) is an extra key on both sides (customer,
+    container). Output: ``key, day[, scope], <prefix>_<target>_<level>...``.
+    """
+    tv = _checked_targets(targets)
+    base = [day_col] + ([scope_key] if scope_key else [])
+    agg = level_sums(feat, base, target_col, value_col, city_col, country_col)
+    plong = position_cells(pos, key, base, city_col, country_col)
+    joined = plong.join(agg, [*base, "__ll", "__lk", "__sl", "__sk"], "left")
+    joined = joined.withColumn("__name", feature_name(prefix))
     names = feature_names(prefix, tv)
     wide = joined.groupBy(key, *base).pivot("__name", names).agg(F.sum("__v"))
     return wide.select(key, *base, *[F.coalesce(F.col(n), F.lit(0)).cast(res_type).alias(n) for n in names])

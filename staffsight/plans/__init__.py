@@ -17,3 +17,4 @@ from . import q_dated  # noqa: F401
 from . import q_jobs  # noqa: F401
 from . import feature_jobs  # noqa: F401
 from . import q_dictionary  # noqa: F401
+from . import q_reconcile  # noqa: F401

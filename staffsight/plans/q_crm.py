@@ -20,7 +20,7 @@ def _snap_dates():
 
 
 def _prob(col):
-    return F.col(col).cast("decimal(3,2)")
+    return (F.col(col) if isinstance(col, str) else col).cast("decimal(3,2)")
 
 
 def crm_plan(t):
