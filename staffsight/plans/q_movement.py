@@ -45,7 +45,8 @@ b as (select *, case when project_uid_projection = 'npa' then 'NPA' when project
 
 @register("j18_membership_both", """
 select a.snap, a.id, a.billable, a.hours from v_snap a
-where a.snap = 1 and exists (select 1 from v_snap b where b.snap = 2 and b.id = a.id and b.billable = a.billable)""",
+semi join (select id, billable from v_snap where snap = 2) b on b.id = a.id and b.billable = a.billable
+where a.snap = 1""",
           views=("v_snap",))
 def q_both(spark, sf_dir):
     return mv.membership(fx.v_snap(Tables(spark, sf_dir)), 1, 2, "both").select("snap", "id", "billable", "hours")
@@ -53,7 +54,8 @@ def q_both(spark, sf_dir):
 
 @register("j18_membership_a_not_b", """
 select a.snap, a.id, a.billable, a.hours from v_snap a
-where a.snap = 2 and not exists (select 1 from v_snap b where b.snap = 3 and b.id = a.id and b.billable = a.billable)""",
+anti join (select id, billable from v_snap where snap = 3) b on b.id = a.id and b.billable = a.billable
+where a.snap = 2""",
           views=("v_snap",))
 def q_a_not_b(spark, sf_dir):
     return mv.membership(fx.v_snap(Tables(spark, sf_dir)), 2, 3, "a_not_b").select("snap", "id", "billable", "hours")
