@@ -92,3 +92,13 @@ def test_assembled_vectors_keep_every_value_of_min_df(spark):
     rows = spark.range(300_000).selectExpr("id", "cast(id as string) as name", "1.0 as weight")
     _, _, names = encode.assemble(rows, ["name"], [], ["weight"], min_df=1)
     assert len(names) == 300_001
+
+
+def test_parameterised_query_binds_a_timestamp(spark, tmp_path):
+    from staffsight.plans.registry import QUERIES
+    rows = [("A", dt.datetime(1996, 1, 1), "F", 1.5), ("A", dt.datetime(1997, 5, 1), "F", 2.0), ("A", dt.datetime(1995, 12, 31), "F", 8.0),
+            ("B", dt.datetime(1998, 1, 1), "O", 4.0), (None, dt.datetime(1998, 1, 1), "F", 3.0), ("B", None, "F", 4.0)]
+    schema = "o_orderpriority string, o_orderdate timestamp_ntz, o_orderstatus string, o_totalprice double"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    got = {tuple(r) for r in QUERIES["s1_parameterised_sql"](spark, str(tmp_path)).collect()}
+    assert got == {("A", 2, 3.5), (None, 1, 3.0)}
