@@ -2,12 +2,12 @@
 (SURVEY A4–A8, A19–A29).
 
 A4 in Spark terms: the feature rows are aggregated once over twelve grouping sets
-({city, country, all} × {skill, category, prefix, all}); positions are expanded to one
-row per (level, location key, skill key) — the distinct cities / countries of a position
-for the location levels — and joined to the aggregate on (level, day, keys) in a single
-equi-join; one pivot per position and day turns levels × targets into columns.
-The aggregate is small next to the positions, so AQE turns the join into a broadcast at
-run time; if it is not, AQE's skew handling splits the hot (day, company) key.
+({city, country, all} × {skill, category, prefix, all}), the targets side by side. The
+positions' distinct sets of skills and places are expanded to one row per (level, location
+key, skill key) — the distinct cities / countries for the location levels — and joined to
+the aggregate on (level, day, keys) in a single equi-join; one aggregate per set turns
+levels × targets into columns, which every position of the set then gets in one join.
+AQE's skew handling splits a set that very many positions share.
 """
 
 from __future__ import annotations
@@ -25,12 +25,17 @@ CITY_LEVEL = "staffing_locations_city_id"
 COUNTRY_LEVEL = "staffing_locations_country_id"
 SKILL_LEVELS = ("primary_skill_id", "primary_skill_category_id", "skill_prefix")
 TOTAL = "total"
+CELL = ("__ll", "__lk", "__sl", "__sk")
 
 
 def target_slug(target: str) -> str:
     return str(target).replace(" ", "_").lower()
 
 
+def _slug(col: str) -> Column:
+    return F.lower(F.regexp_replace(F.col(col).cast("string"), " ", "_"))
+
+
 def level_suffix(loc: str, skill: str) -> str:
     if loc == TOTAL and skill == TOTAL:
         return "company"
@@ -105,8 +110,7 @@ def feature_name(prefix: str) -> Column:
               .when(F.col("__ll") == TOTAL, F.col("__sl"))
               .when(F.col("__sl") == TOTAL, F.col("__ll"))
               .otherwise(F.concat(F.col("__ll"), F.lit("_"), F.col("__sl"))))
-    slug = F.lower(F.regexp_replace(F.col("__target").cast("string"), " ", "_"))
-    return F.concat(F.lit(prefix + "_"), slug, F.lit("_"), suffix)
+    return F.concat(F.lit(prefix + "_"), _slug("__target"), F.lit("_"), suffix)
 
 
 def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col: str, prefix: str,
@@ -127,13 +131,27 @@ def rollup_features(pos: DataFrame, feat: DataFrame, target_col: str, value_col:
     """
     tv = _checked_targets(targets)
     base = [day_col] + ([scope_key] if scope_key else [])
-    agg = level_sums(feat, base, target_col, value_col, city_col, country_col)
-    plong = position_cells(pos, key, base, city_col, country_col)
-    joined = plong.join(agg, [*base, "__ll", "__lk", "__sl", "__sk"], "left")
-    joined = joined.withColumn("__name", feature_name(prefix))
+    # a cell has its targets side by side, so that a position meets it once
+    slug = _slug("__target")
+    sums = [F.sum(F.when(slug == target_slug(t), F.col("__v"))).alias(f"__t{i}") for i, t in enumerate(tv)]
+    agg = level_sums(feat, base, target_col, value_col, city_col, country_col).groupBy(*base, *CELL).agg(*sums)
+    # what a position reads follows from its skills and places alone: each set of them is looked up once
+    place = F.struct(*SKILL_LEVELS, F.col(city_col).cast("string").alias(city_col), F.col(country_col).cast("string").alias(country_col))
+    near = pos.groupBy(key, *base).agg(F.array_sort(F.collect_set(place)).alias("__places"))
+    sets = near.select(*base, "__places").distinct()
+    plong = position_cells(sets.select(*base, "__places", F.inline("__places")), "__places", base, city_col, country_col)
+    joined = plong.join(agg, [*base, *CELL], "left")
+    levels = [(l, s) for l in (CITY_LEVEL, COUNTRY_LEVEL, TOTAL) for s in (*SKILL_LEVELS, TOTAL)]
     names = feature_names(prefix, tv)
-    wide = joined.groupBy(key, *base).pivot("__name", names).agg(F.sum("__v"))
-    return wide.select(key, *base, *[F.coalesce(F.col(n), F.lit(0)).cast(res_type).alias(n) for n in names])
+    wide = joined.groupBy("__places", *base).agg(*(
+        F.sum(F.when((F.col("__ll") == l) & (F.col("__sl") == s), F.col(f"__t{i}"))).alias(f"__f{j * len(tv) + i}")
+        for j, (l, s) in enumerate(levels) for i in range(len(tv))))
+    wide = wide.select(F.col("__places").alias("__set"), *(F.col(c).alias(f"__b{i}") for i, c in enumerate(base)),
+                       *(F.coalesce(F.col(f"__f{i}"), F.lit(0)).cast(res_type).alias(n) for i, n in enumerate(names)))
+    same = F.col("__places") == F.col("__set")
+    for i, c in enumerate(base):
+        same = same & F.col(c).eqNullSafe(F.col(f"__b{i}"))
+    return near.join(wide, same).select(key, *base, *names)
 
 
 def total_over_targets(df: DataFrame, prefix: str, targets: Sequence[str], out_slug: str = "total") -> DataFrame:
