@@ -65,10 +65,10 @@ def movement_edges(movement: DataFrame, snap: str = "snap", flag: str = "billabl
     lab = F.when(F.col(flag), F.lit("billable")).otherwise(F.lit("non billable"))
     src = F.concat_ws(" ", F.col(snap).cast("string"), lab)
     dst = F.concat_ws(" ", F.col("next_snap").cast("string"), lab)
-    kept = movement.select(src.alias("source"), dst.alias("target"), F.col("kept_hours").alias("value"))
-    canc = movement.select(src.alias("source"), F.lit("cancelled").alias("target"), F.col("cancelled_hours").alias("value"))
-    new = movement.select(F.lit("new").alias("source"), dst.alias("target"), F.col("new_hours").alias("value"))
-    return kept.unionByName(canc).unionByName(new)
+    # three edges from each row: the movement is computed once
+    edges = F.array(*(F.struct(a.alias("source"), b.alias("target"), F.col(hours).alias("value")) for a, b, hours in (
+        (src, dst, "kept_hours"), (src, F.lit("cancelled"), "cancelled_hours"), (F.lit("new"), dst, "new_hours"))))
+    return movement.select(F.inline(edges))
 
 
 def pivot_snapshots(df: DataFrame, key: Sequence[str] | str, snaps: Sequence, value: str = "hours",
