@@ -8,6 +8,7 @@ from ..operators import metrics as mx
 from ..operators import model as md
 from ..operators import snapshots as snap
 from ..operators import splits as sp
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources import io
 from ..sources.tables import Tables
@@ -355,7 +356,8 @@ def q_train(spark, sf_dir):
 def q_score(spark, sf_dir):
     """Rows-only: models trained on earlier days score the latest day by scope."""
     t = Tables(spark, sf_dir)
-    rows = md.scope_label(_training_rows(spark, t))
+    ensure_checkpoint_dir(spark)
+    rows = md.scope_label(_training_rows(spark, t)).checkpoint()  # read by every pass of every fit and by the scoring
     train = rows.where(F.col("date") < F.lit("1997-01-01").cast("date"))
     test = rows.where(F.col("date") == F.lit("1997-01-01").cast("date"))
     out = None

@@ -64,3 +64,11 @@ def test_rollup_looks_each_set_of_places_up_once(spark):
     # forty positions of one set: the join by cell sees the set's twelve cells, not twelve a position
     text = out._jdf.queryExecution().optimizedPlan().toString()
     assert "__places" in text and "__name" not in text
+
+
+def test_models_and_scores_read_written_rows(spark):
+    from staffsight.plans.registry import QUERIES
+
+    from .conftest import SMOKE
+    plan = QUERIES["m5_score_per_scope"](spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Relation [" not in plan
