@@ -48,6 +48,9 @@ def _parameters(t) -> dict:
 def _train(spark, t, store, days, scopes_of_last=md.SCOPES):
     """Models at each of ``days``; the last day trains ``scopes_of_last`` only and names the others without a path."""
     rows, parameters = _rows(t, spark.createDataFrame([(d,) for d in days], "date date")), _parameters(t)
+    # the history and the hours are read and joined once for all days
+    needed = dict.fromkeys(["date", *md.SCOPE_COLUMNS, *CATEGORICAL, *MULTICATEGORICAL, *NUMERIC, "target"])
+    rows = rows.select(*needed).checkpoint()
     for run, day in enumerate(days):
         mine = rows.where(F.col("date") == F.lit(day))
         scopes = scopes_of_last if day == days[-1] else md.SCOPES
