@@ -9,6 +9,9 @@ from staffsight.operators import business_days as bd
 from staffsight.operators import lookup as lk
 from staffsight.operators import position_features as pf
 from staffsight.operators.blocks import Block, assembled, run_blocks
+from staffsight.plans import q_jobs as jobs
+
+from .conftest import SMOKE
 
 
 def test_a_failed_job_goes_on_where_it_stopped(spark, tmp_path):
@@ -71,3 +74,58 @@ def test_project_sum_check(spark):
     pf.assert_some(rows, "proj_duration")
     with pytest.raises(ValueError, match="other"):
         pf.assert_some(rows, "other")
+
+
+def test_a_written_block_is_let_go_before_the_next_is_planned(spark, tmp_path):
+    held, alive = [], []
+
+    def rows():
+        df = spark.range(4).select(F.col("id").alias("k"), F.lit(1).alias("a"))
+        held.append(spark._jvm.java.lang.ref.WeakReference(df._jdf))
+        return df
+
+    def second(r):
+        alive.append(held[0].get() is not None)
+        return r.select("k", F.lit(2).alias("b"))
+
+    run_blocks(spark, str(tmp_path), ["k"], [Block("rows", rows, ()), Block("b", second)])
+    assert alive == [False]
+
+
+def test_a_block_with_other_keys_is_an_error(spark, tmp_path):
+    rows = Block("rows", lambda: spark.range(4).withColumnRenamed("id", "k"), ())
+    with pytest.raises(ValueError, match="other has other keys"):
+        run_blocks(spark, str(tmp_path), ["k"], [rows, Block("other", lambda r: r.select((F.col("k") + 1).alias("k")))])
+
+
+def test_only_the_columns_asked_for_are_joined(spark, tmp_path):
+    rows = Block("rows", lambda: spark.range(4).select(F.col("id").alias("k"), F.lit(1).alias("a"), F.lit(2).alias("x")), ())
+    b = Block("b", lambda r: r.select("k", F.lit(9).alias("a"), F.lit(3).alias("b"), F.lit(4).alias("y")))
+    c = Block("c", lambda r: r.select("k", F.lit(8).alias("b"), F.lit(5).alias("z")))
+    tables = run_blocks(spark, str(tmp_path), ["k"], [rows, b, c])
+    whole = assembled(tables, ["k"])
+    assert whole.columns == ["k", "a", "x", "b", "y", "z"]
+    out = assembled(tables, ["k"], columns=["b", "k", "a"])
+    assert out.columns == ["b", "k", "a"] and sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.select("b", "k", "a").collect()))
+    assert not {"x", "y", "z"} & {a.name() for a in _leaves(out)}
+
+
+@pytest.mark.parametrize("job", ["q_horizon_job", "q_outcome_job"])
+def test_the_jobs_share_the_places_and_join_what_they_show(spark, monkeypatch, job):
+    got = []
+    monkeypatch.setattr(jobs, "run_blocks", lambda spark, store, keys, blocks: got.append(blocks) or {b.name: b for b in blocks})
+    monkeypatch.setattr(jobs, "assembled", lambda tables, keys, columns: (sorted(tables), columns))
+    tables, columns = getattr(jobs, job)(spark, SMOKE)
+    assert columns == jobs._SHOWN and "places" not in tables and len(tables) == 19
+    assert {b.name for b in got[0] if "places" in b.inputs} == {"bench_buckets", "positions", "time_reporting", "total_proposals", "per_project", "on_bench"}
+
+
+def _leaves(df):
+    plan = df._jdf.queryExecution().analyzed()
+    joined = [n for n in _nodes(plan) if n.nodeName() == "Join"]
+    return [n.output().apply(i) for n in joined for i in range(n.output().size())]
+
+
+def _nodes(plan):
+    children = plan.children()
+    return [plan, *(x for i in range(children.size()) for x in _nodes(children.apply(i)))]
